@@ -130,3 +130,12 @@ def executive_summary(
     row = one_row(kpis, freight, rating, extra)
     late_rate = F.when(F.col("_delivered") > 0, F.col("_late").cast("double") / F.col("_delivered"))
     return row.select(*kpis.columns, "total_freight", "average_rating", late_rate.alias("late_rate"))
+
+
+def freight_value_correlation(fact_orders: DataFrame) -> DataFrame:
+    """Pearson correlation of freight with order value over orders having both."""
+    pairs = fact_orders.filter(F.col("total_order_value").isNotNull() & F.col("total_freight").isNotNull())
+    return pairs.agg(
+        F.count(F.lit(1)).alias("orders"),
+        F.corr(F.col("total_order_value").cast("double"), F.col("total_freight").cast("double")).alias("correlation"),
+    )

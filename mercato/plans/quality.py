@@ -40,11 +40,15 @@ def key_uniqueness(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def orphan_keys(child: DataFrame, parent: DataFrame, keys: Sequence[str], parent_keys: Sequence[str] | None = None
                 ) -> DataFrame:
-    """Child keys (non-NULL) with no parent row, and how many child rows carry them."""
+    """Child keys (non-NULL) with no parent row, and how many child rows carry them.
+
+    Child rows are counted per key first (map-side combine), so the anti-join
+    runs at key grain and a key shared by many rows is one row in the join.
+    """
     parent_keys = list(parent_keys or keys)
     parents = parent.select(*[F.col(p).alias(k) for p, k in zip(parent_keys, keys)]).distinct()
-    missing = child.select(*keys).filter(not_null(*keys)).join(parents, list(keys), "left_anti")
-    return missing.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).orderBy(*keys)
+    per_key = child.filter(not_null(*keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    return per_key.join(parents, list(keys), "left_anti").orderBy(*keys)
 
 
 def orphan_summary(checks: Mapping[str, tuple[DataFrame, DataFrame, Sequence[str], Sequence[str]]]) -> DataFrame:

@@ -170,6 +170,7 @@ _QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     "delivery_performance": lambda m: delivery.delivery_performance(m.fact_orders),
     "delivery_by_location": lambda m: delivery.delivery_by_location(m.fact_orders, m.dim_customers),
     "freight_by_order_value": lambda m: delivery.freight_by_order_value(m.fact_orders),
+    "freight_value_correlation": lambda m: delivery.freight_value_correlation(m.fact_orders),
     "executive_summary": lambda m: delivery.executive_summary(
         m.fact_orders, m.fact_order_items, m.dim_customers, m.fact_reviews),
     # data quality

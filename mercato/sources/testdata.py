@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.functions.money import MONEY
-from mercato.operators.shape import broadcast_if_small
 
 # The category translation used by the fixtures.
 CATEGORY_TRANSLATION = [
@@ -27,11 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation with its region name; 25 rows by the TPC-H definition, size-checked."""
+    """nation with its region name (25 rows by the TPC-H definition). No hint:
+    Spark broadcasts it from the file-size estimate below the broadcast threshold."""
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    geo = nation.join(broadcast_if_small(region), nation.n_regionkey == region.r_regionkey)
-    return broadcast_if_small(geo.select("n_nationkey", "n_name", "r_name"))
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey)
+    return geo.select("n_nationkey", "n_name", "r_name")
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
