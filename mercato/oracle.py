@@ -273,13 +273,13 @@ LABELLED_SALES = """
   SELECT s.*, coalesce(l.product_label, substr(CAST(s.product_id AS VARCHAR), 1, 12)) AS product_label
   FROM sales_by_product s LEFT JOIN product_labels l ON s.product_id = l.product_id)"""
 ORACLE["top_products_by_units"] = q(LABELLED_SALES + """
-SELECT product_label, sum(units_sold) AS units_sold FROM labelled_sales WHERE product_label IS NOT NULL
+SELECT product_label, CAST(sum(units_sold) AS BIGINT) AS units_sold FROM labelled_sales WHERE product_label IS NOT NULL
 GROUP BY 1 ORDER BY units_sold DESC, product_label LIMIT 15""")
 ORACLE["top_products_by_revenue"] = q(LABELLED_SALES + """
 SELECT product_label, CAST(sum(product_revenue) AS DOUBLE) AS product_revenue FROM labelled_sales
 WHERE product_label IS NOT NULL GROUP BY 1 ORDER BY sum(product_revenue) DESC, product_label LIMIT 15""")
 ORACLE["category_performance"] = q("""
-SELECT c.category, sum(s.units_sold) AS units_sold, CAST(sum(s.product_revenue) AS DOUBLE) AS revenue
+SELECT c.category, CAST(sum(s.units_sold) AS BIGINT) AS units_sold, CAST(sum(s.product_revenue) AS DOUBLE) AS revenue
 FROM sales_by_product s LEFT JOIN product_category c ON s.product_id = c.product_id
 WHERE c.category IS NOT NULL GROUP BY 1 ORDER BY sum(s.product_revenue) DESC, c.category LIMIT 20""")
 ORACLE["low_sales_products"] = q("""
@@ -320,12 +320,12 @@ SELECT c.customer_city, CAST(coalesce(sum(p.revenue), 0) AS DOUBLE) AS revenue
 FROM per_customer p JOIN customer_one c ON p.customer_id = c.customer_id
 WHERE c.customer_city IS NOT NULL GROUP BY 1""")
 ORACLE["orders_by_city"] = q(PER_CUSTOMER + """
-SELECT c.customer_city, sum(p.orders) AS orders
+SELECT c.customer_city, CAST(sum(p.orders) AS BIGINT) AS orders
 FROM per_customer p JOIN customer_one c ON p.customer_id = c.customer_id
 WHERE c.customer_city IS NOT NULL GROUP BY 1""")
 ORACLE["orders_per_customer"] = q(PER_CUSTOMER + """
 , per_person AS (
-  SELECT c.customer_unique_id, sum(p.orders) AS orders_placed
+  SELECT c.customer_unique_id, CAST(sum(p.orders) AS BIGINT) AS orders_placed
   FROM per_customer p JOIN customer_one c ON p.customer_id = c.customer_id GROUP BY 1)
 SELECT orders_placed, count(*) AS customers FROM per_person GROUP BY 1""")
 ORACLE["customer_value_by_location"] = q(PER_CUSTOMER + """
@@ -343,7 +343,7 @@ FROM fact_order_items WHERE seller_id IS NOT NULL GROUP BY seller_id""")
 SELLER_BY_LABEL = """
 , seller_by_label AS (
   SELECT coalesce(l.seller_label, substr(CAST(s.seller_id AS VARCHAR), 1, 12)) AS seller_label,
-         sum(s.seller_revenue) AS seller_revenue, sum(s.items_sold) AS items_sold
+         sum(s.seller_revenue) AS seller_revenue, CAST(sum(s.items_sold) AS BIGINT) AS items_sold
   FROM sales_by_seller s LEFT JOIN seller_label_lookup l ON s.seller_id = l.seller_id GROUP BY 1)"""
 ORACLE["top_sellers_by_revenue"] = q(SELLER_BY_LABEL + """
 SELECT seller_label, CAST(seller_revenue AS DOUBLE) AS seller_revenue FROM seller_by_label
@@ -414,14 +414,16 @@ DELIVERY = """
 , d AS (
   SELECT order_id, customer_id, order_delivered_customer_date IS NOT NULL AS delivered,
          order_delivered_customer_date > order_estimated_delivery_date AS late,
-         date_diff('day', CAST(order_purchase_timestamp AS DATE), CAST(order_delivered_customer_date AS DATE)) AS days
+         date_diff('day', CAST(order_purchase_timestamp AS DATE), CAST(order_delivered_customer_date AS DATE)) AS days,
+         date_diff('day', CAST(order_estimated_delivery_date AS DATE), CAST(order_delivered_customer_date AS DATE))
+           AS vs_estimate
   FROM fact_orders)"""
 ORACLE["delivery_performance"] = q(DELIVERY + f"""
 , k AS (SELECT count(CASE WHEN delivered THEN 1 END) AS delivered_orders, count(CASE WHEN late THEN 1 END) AS late_orders,
-               {mean('days')} AS avg_delivery_days FROM d)
+               {mean('days')} AS avg_delivery_days, {mean('vs_estimate')} AS avg_days_vs_estimate FROM d)
 SELECT delivered_orders, late_orders,
        CASE WHEN delivered_orders > 0 THEN CAST(late_orders AS DOUBLE) / delivered_orders END AS late_rate,
-       avg_delivery_days
+       avg_delivery_days, avg_days_vs_estimate
 FROM k""")
 ORACLE["delivery_by_location"] = q(PER_CUSTOMER + DELIVERY + """
 SELECT c.customer_state, count(CASE WHEN d.delivered THEN 1 END) AS delivered_orders,
@@ -554,3 +556,11 @@ ORACLE["format_count"] = q(f"""
 SELECT order_id, CAST(total_order_value AS DOUBLE) AS total_order_value,
        {count_text('total_order_value')} AS value_count_text
 FROM fact_orders""")
+ORACLE["average_product_price"] = q(f"""
+SELECT count(price) AS priced_items, {half_up_avg('price')} AS average_price FROM fact_order_items""")
+ORACLE["review_by_location"] = q(PER_CUSTOMER + """
+, per_order AS (SELECT order_id, sum(score) AS s, count(score) AS n FROM scored_reviews WHERE score IS NOT NULL GROUP BY 1),
+oc AS (SELECT DISTINCT order_id, customer_id FROM fact_orders)
+SELECT c.customer_state, CAST(sum(p.n) AS BIGINT) AS reviews, CAST(sum(p.s) AS DOUBLE) / sum(p.n) AS average_rating
+FROM per_order p JOIN oc ON p.order_id = oc.order_id JOIN customer_one c ON oc.customer_id = c.customer_id
+WHERE c.customer_state IS NOT NULL GROUP BY 1""")

@@ -50,6 +50,7 @@ def _delivery_columns(fact_orders: DataFrame) -> DataFrame:
         delivered.isNotNull().alias("_delivered"),
         (delivered > F.col("order_estimated_delivery_date")).alias("_late"),
         F.datediff(delivered, F.col("order_purchase_timestamp")).alias("_days"),
+        F.datediff(delivered, F.col("order_estimated_delivery_date")).alias("_vs_estimate"),
     )
 
 
@@ -58,9 +59,12 @@ def delivery_performance(fact_orders: DataFrame) -> DataFrame:
         F.count(F.when(F.col("_delivered"), 1)).alias("delivered_orders"),
         F.count(F.when(F.col("_late"), 1)).alias("late_orders"),
         exact_mean("_days").alias("avg_delivery_days"),
+        exact_mean("_vs_estimate").alias("avg_days_vs_estimate"),
     )
     rate = F.when(F.col("delivered_orders") > 0, F.col("late_orders").cast("double") / F.col("delivered_orders"))
-    return row.select("delivered_orders", "late_orders", rate.alias("late_rate"), "avg_delivery_days")
+    return row.select(
+        "delivered_orders", "late_orders", rate.alias("late_rate"), "avg_delivery_days", "avg_days_vs_estimate"
+    )
 
 
 def delivery_by_location(fact_orders: DataFrame, dim_customers: DataFrame) -> DataFrame:

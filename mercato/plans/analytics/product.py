@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions.columns import resolve_column
-from mercato.functions.money import avg_cents_half_up, cents, money_sum_or_zero
+from mercato.functions.money import avg_cents_half_up, cents, money_avg, money_sum_or_zero
 from mercato.operators.clean import dedupe_by_key
 from mercato.operators.shape import top_n
 from mercato.plans.labels import PRODUCT_CATEGORY_CANDIDATES, add_product_labels
@@ -101,3 +101,10 @@ def category_order_volume(fact_order_items: DataFrame, dim_products: DataFrame)
     )
     out = agg.select("category", "orders", avg_cents_half_up(F.col("_cents"), F.col("_priced")).alias("average_price"))
     return out.orderBy(F.col("orders").desc(), F.col("category").asc())
+
+
+def average_product_price(fact_order_items: DataFrame) -> DataFrame:
+    """Average item price over all priced items (half-up to the cent)."""
+    return fact_order_items.agg(
+        F.count("price").alias("priced_items"), money_avg("price").alias("average_price")
+    )

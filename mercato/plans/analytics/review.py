@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from mercato.functions.columns import resolve_column, to_number
 from mercato.functions.money import exact_mean
 from mercato.operators.shape import fill_month_gaps, month_end_ts, month_start
+from mercato.operators.clean import dedupe_by_key
 from mercato.plans.analytics.product import product_category_lookup
 
 # Candidate column names.
@@ -85,3 +86,28 @@ def poor_review_categories(
         (F.count(F.when(F.col("_score") <= max_score, 1)).cast("double") / F.count(F.lit(1))).alias("low_share"),
     )
     return out.orderBy(F.col("average_rating").asc(), F.col("category").asc())
+
+
+def review_by_location(fact_reviews: DataFrame, fact_orders: DataFrame, dim_customers: DataFrame) -> DataFrame:
+    """Review volume and mean score per customer state (lowest first).
+
+    Scores are summed per order, then per customer, before the state lookup,
+    so every join runs at order or customer grain.
+    """
+    per_order = (
+        numeric_score(fact_reviews)
+        .filter(F.col("_score").isNotNull())
+        .groupBy("order_id")
+        .agg(F.sum("_score").alias("_s"), F.count("_score").alias("_n"))
+    )
+    order_customers = fact_orders.select("order_id", "customer_id").distinct()
+    per_customer = (
+        per_order.join(order_customers, "order_id", "inner")
+        .groupBy("customer_id")
+        .agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"))
+    )
+    states = dedupe_by_key(dim_customers.select("customer_id", "customer_state"), ["customer_id"])
+    located = per_customer.join(states, "customer_id", "inner").filter(F.col("customer_state").isNotNull())
+    agg = located.groupBy("customer_state").agg(F.sum("_n").alias("reviews"), F.sum("_s").alias("_s"))
+    out = agg.select("customer_state", "reviews", (F.col("_s").cast("double") / F.col("reviews")).alias("average_rating"))
+    return out.orderBy(F.col("average_rating").asc(), F.col("customer_state").asc())

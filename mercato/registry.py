@@ -138,6 +138,7 @@ _QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     "category_performance": lambda m: product.category_performance(m.sales_by_product, m.dim_products),
     "low_sales_products": lambda m: product.low_sales_products(m.dim_products, m.sales_by_product),
     "category_order_volume": lambda m: product.category_order_volume(m.fact_order_items, m.dim_products),
+    "average_product_price": lambda m: product.average_product_price(m.fact_order_items),
     # customers
     "customer_kpis": lambda m: customer.customer_kpis(m.fact_orders, m.dim_customers),
     "revenue_by_state": lambda m: customer.revenue_by_state(m.fact_orders, m.dim_customers),
@@ -162,6 +163,7 @@ _QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     "rating_distribution": lambda m: review.rating_distribution(m.fact_reviews),
     "low_rating_reviews": lambda m: review.low_rating_reviews(m.fact_reviews),
     "review_trend": lambda m: review.review_trend(m.fact_reviews),
+    "review_by_location": lambda m: review.review_by_location(m.fact_reviews, m.fact_orders, m.dim_customers),
     "poor_review_categories": lambda m: review.poor_review_categories(
         m.fact_reviews, m.fact_order_items, m.dim_products),
     # delivery and logistics
