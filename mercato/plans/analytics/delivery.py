@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from mercato.functions.money import MONEY, exact_mean, money_sum_or_zero
 from mercato.operators.clean import dedupe_by_key
 from mercato.operators.shape import one_row
-from mercato.plans.analytics.executive import executive_kpis
+from mercato.plans.analytics.executive import customer_count, item_counts
 from mercato.plans.analytics.review import numeric_score
 
 # Order-value bands (lower bound inclusive, label) in currency units.
@@ -120,20 +120,32 @@ def freight_by_order_value(fact_orders: DataFrame) -> DataFrame:
 def executive_summary(
     fact_orders: DataFrame, fact_order_items: DataFrame, dim_customers: DataFrame, fact_reviews: DataFrame
 ) -> DataFrame:
-    """Headline KPIs plus freight, rating and lateness in one row (no joins)."""
-    kpis = executive_kpis(fact_orders, fact_order_items, dim_customers)
-    extra = _delivery_columns(fact_orders.select(
-        "order_id", "customer_id", "order_delivered_customer_date", "order_estimated_delivery_date",
-        "order_purchase_timestamp",
-    )).agg(
-        F.count(F.when(F.col("_delivered"), 1)).alias("_delivered"),
-        F.count(F.when(F.col("_late"), 1)).alias("_late"),
+    """Headline KPIs plus freight, rating and lateness in one row (no joins).
+
+    Everything taken from ``fact_orders`` comes from one aggregation pass.
+    """
+    order_row = fact_orders.select(
+        "order_id", "total_order_value", "total_freight", "order_delivered_customer_date",
+        "order_estimated_delivery_date",
+    ).agg(
+        money_sum_or_zero("total_order_value").alias("revenue"),
+        F.countDistinct("order_id").alias("orders"),
+        money_sum_or_zero("total_freight").alias("total_freight"),
+        F.count("order_delivered_customer_date").alias("_delivered"),
+        F.count(F.when(F.col("order_delivered_customer_date") > F.col("order_estimated_delivery_date"), 1)).alias("_late"),
     )
-    freight = fact_orders.agg(money_sum_or_zero("total_freight").alias("total_freight"))
-    rating = numeric_score(fact_reviews).agg(exact_mean("_score").alias("average_rating"))
-    row = one_row(kpis, freight, rating, extra)
+    row = one_row(
+        order_row,
+        customer_count(dim_customers),
+        item_counts(fact_order_items),
+        numeric_score(fact_reviews).agg(exact_mean("_score").alias("average_rating")),
+    )
+    aov = F.when(F.col("orders") > 0, F.col("revenue").cast("double") / F.col("orders")).otherwise(F.lit(0.0))
     late_rate = F.when(F.col("_delivered") > 0, F.col("_late").cast("double") / F.col("_delivered"))
-    return row.select(*kpis.columns, "total_freight", "average_rating", late_rate.alias("late_rate"))
+    return row.select(
+        "revenue", "orders", "customers", "item_records", "distinct_item_seq", aov.alias("average_order_value"),
+        "total_freight", "average_rating", late_rate.alias("late_rate"),
+    )
 
 
 def freight_value_correlation(fact_orders: DataFrame) -> DataFrame:

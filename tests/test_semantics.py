@@ -233,3 +233,57 @@ def test_freight_value_correlation_matches_numpy(spark):
     got = delivery.freight_value_correlation(m.fact_orders).collect()[0]
     assert got.orders == len(pdf)
     assert got.correlation == pytest.approx(np.corrcoef(pdf.v, pdf.f)[0, 1], rel=1e-9)
+
+
+def test_payment_shares_sum_to_one_and_half_up_average(spark):
+    pay = spark.createDataFrame(
+        [("card", 1, D("1.00")), ("card", 1, D("1.01")), ("boleto", 2, D("3.00")), (None, 1, D("9.00"))],
+        "payment_type string, payment_installments int, payment_value decimal(18,2)",
+    )
+    got = rows(payment.payment_behaviour(pay))
+    assert got == [("boleto", 2, 1, 3.0, 1 / 3), ("card", 1, 2, 1.01, 2 / 3)]
+
+
+def test_review_trend_keeps_empty_months(spark):
+    reviews = spark.createDataFrame(
+        [(1, 1, "4", dt.datetime(2021, 1, 3)), (2, 2, "2", dt.datetime(2021, 3, 1)), (3, 3, "x", dt.datetime(2021, 3, 2))],
+        "review_id int, order_id int, review_score string, review_creation_date timestamp_ntz",
+    )
+    got = rows(review.review_trend(reviews))
+    assert got == [
+        (dt.datetime(2021, 1, 31), 1, 4.0), (dt.datetime(2021, 2, 28), 0, None), (dt.datetime(2021, 3, 31), 2, 2.0)
+    ]
+
+
+def test_review_by_location(spark):
+    reviews = spark.createDataFrame(
+        [(1, 10, "5"), (2, 11, "1"), (3, 12, "n/a"), (4, 13, "3")], "review_id int, order_id int, review_score string"
+    )
+    orders = spark.createDataFrame([(10, 1), (11, 2), (12, 2), (13, 3)], "order_id int, customer_id int")
+    customers = spark.createDataFrame([(1, "SP"), (2, "SP"), (3, None)], "customer_id int, customer_state string")
+    assert rows(review.review_by_location(reviews, orders, customers)) == [("SP", 2, 3.0)]
+
+
+def test_if_columns_applies_only_when_present(spark):
+    from mercato.functions.columns import if_columns
+
+    df = spark.createDataFrame([(" A ",)], "product_category_name string")
+    f = lambda d: d.withColumn("product_category_name", F.lower(F.trim("product_category_name")))
+    assert if_columns(df, ["product_category_name"], f).collect()[0][0] == "a"
+    assert if_columns(df, ["missing"], f).collect()[0][0] == " A "
+
+
+def test_gold_rebuild_is_idempotent(spark, tmp_dir):
+    import os
+
+    from mercato.plans.jobs import build_gold
+    from mercato.plans.model import Model
+    from tests.conftest import SF001
+
+    m = Model(spark, SF001)
+    out = os.path.join(tmp_dir, "gold")
+    build_gold(spark, "", out, tables=["sales_by_seller", "dim_products"], silver=m.silver())
+    first = {t: sorted(map(repr, rows(spark.read.parquet(f"{out}/{t}")))) for t in ["sales_by_seller", "dim_products"]}
+    build_gold(spark, "", out, tables=["sales_by_seller", "dim_products"], silver=m.silver())
+    second = {t: sorted(map(repr, rows(spark.read.parquet(f"{out}/{t}")))) for t in ["sales_by_seller", "dim_products"]}
+    assert first == second
