@@ -79,7 +79,7 @@ def add_seller_labels(df: DataFrame, sellers: DataFrame | None, strict: bool = T
         return df
     lookup = seller_label_lookup(sellers, strict=strict) if sellers is not None else None
     if lookup is None:
-        return df
+        return df.withColumn("seller_label", id_prefix(sid))
     lookup = lookup.withColumnRenamed("seller_id", "_label_sid")
     out = df.join(lookup, F.col(sid) == F.col("_label_sid"), "left").drop("_label_sid")
     return out.withColumn("seller_label", F.coalesce(F.col("seller_label"), id_prefix(sid)))
