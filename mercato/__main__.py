@@ -46,6 +46,10 @@ def parser() -> argparse.ArgumentParser:
     gold.add_argument("--gold", required=True)
     gold.add_argument("--tables", nargs="*", choices=GOLD_TABLES)
     gold.add_argument("--how", choices=["left", "inner"], default="left")
+    gold.add_argument("--bucket", action="append", metavar="TABLE=KEY",
+                      help="write TABLE as a catalog table bucketed on KEY (repeatable)")
+    gold.add_argument("--buckets", type=int, default=0, help="bucket count for --bucket tables")
+    gold.add_argument("--table-prefix", default="", help="catalog name prefix for bucketed tables")
 
     init = sub.add_parser("init-serving", help="create typed serving tables if absent")
     init.add_argument("--tables", nargs="*", choices=sorted(SERVING_DDL))
@@ -83,7 +87,11 @@ def main(argv: list[str] | None = None) -> int:
     elif args.command == "gold":
         from mercato.plans.jobs import build_gold
 
-        for name, path in build_gold(spark, args.silver, args.gold, args.tables, how=args.how).items():
+        written = build_gold(
+            spark, args.silver, args.gold, args.tables, how=args.how,
+            bucket_by=_options(args.bucket), buckets=args.buckets, table_prefix=args.table_prefix,
+        )
+        for name, path in written.items():
             print(f"{name}: {path}")
     elif args.command == "init-serving":
         from mercato.sources.serving import ensure_table

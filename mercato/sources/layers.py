@@ -36,3 +36,24 @@ def write_layer(
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return path
+
+
+def write_bucketed(df: DataFrame, root: str, name: str, table: str, key: str, buckets: int) -> str:
+    """Write a layer as a catalog table bucketed and sorted by ``key``.
+
+    Tables bucketed the same way on the join key are joined without shuffling
+    either side. The frame is hash-partitioned into ``buckets`` first (the same
+    hash as bucketing), so each task writes one file per bucket instead of one
+    file per (task, bucket).
+    """
+    path = layer_path(root, name)
+    (
+        df.repartition(buckets, key)
+        .write.mode("overwrite")
+        .format("parquet")
+        .option("path", path)
+        .bucketBy(buckets, key)
+        .sortBy(key)
+        .saveAsTable(table)
+    )
+    return path

@@ -50,3 +50,26 @@ def test_no_cartesian_products(spark):
     for name, q in QUERIES.items():
         text = plan(q(spark, SF001))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+
+
+def test_bucketed_facts_join_without_shuffle(spark, tmp_dir):
+    import os
+
+    from mercato.plans.jobs import build_gold, read_gold
+    from mercato.plans.model import Model
+
+    m = Model(spark, SF001)
+    root = os.path.join(tmp_dir, "gold_bucketed")
+    facts = {"fact_orders": "order_id", "fact_order_items": "order_id"}
+    build_gold(spark, "", root, tables=list(facts), silver=m.silver(), bucket_by=facts, buckets=4,
+               table_prefix="bkt_")
+    gold = read_gold(spark, root, list(facts), table_prefix="bkt_")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = gold["fact_orders"].join(gold["fact_order_items"].select("order_id", "price"), "order_id")
+        text = plan(joined)
+        assert "SortMergeJoin" in text and "Exchange" not in text
+        assert joined.count() == m.order_items.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
