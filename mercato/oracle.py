@@ -151,7 +151,7 @@ ORACLE["order_metrics"] = q(
 ORACLE["fact_orders"] = q(
     "SELECT order_id, customer_id, order_status, order_purchase_timestamp, order_approved_at, "
     "order_delivered_carrier_date, order_delivered_customer_date, order_estimated_delivery_date, "
-    f"{_money_cols(['total_order_value', 'total_freight'])}, item_count FROM fact_orders")
+    f"{_money_cols(['total_order_value', 'total_freight'])}, CAST(item_count AS DOUBLE) AS item_count FROM fact_orders")
 ORACLE["fact_orders_inner"] = q(
     "SELECT order_id, customer_id, order_status, order_purchase_timestamp, "
     f"{_money_cols(['total_order_value', 'total_freight'])}, item_count FROM fact_orders_inner")

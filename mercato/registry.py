@@ -107,7 +107,9 @@ def _business_insights(m: Model) -> DataFrame:
 _QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     # gold: facts, dimensions, marts
     "order_metrics": lambda m: gold.order_metrics(m.order_items),
-    "fact_orders": lambda m: m.fact_orders,
+    # item_count is NULL for orders without items; the registry returns it as double so a NULL-able count
+    # has one representation in every client (pandas turns a NULL-able bigint into float64).
+    "fact_orders": lambda m: m.fact_orders.withColumn("item_count", F.col("item_count").cast("double")),
     "fact_orders_inner": lambda m: m.fact_orders_inner,
     "fact_order_items": lambda m: m.fact_order_items,
     "fact_payments": lambda m: m.fact_payments,
