@@ -53,17 +53,19 @@ def cents(c: str | Column) -> Column:
 def avg_cents_half_up(sum_cents: Column, n: Column) -> Column:
     """Average of cent amounts rounded half away from zero, as a double in units.
 
-    ``sign(s) * ((2*|s| + n) div (2*n)) / 100`` in exact integer arithmetic, so
-    every engine agrees; NULL when ``n`` is 0.
+    ``sign(s) * ((2*|s| + n) div (2*n)) / 100`` in exact arithmetic, so every
+    engine agrees; NULL when ``n`` is 0. ``sum_cents`` should be a DECIMAL (the
+    exact money sum times 100): a 64-bit cent total of a very large table can
+    overflow, a DECIMAL(38,2) cannot below 10^36.
     """
     quotient = int_div(F.lit(2) * F.abs(sum_cents) + n, F.lit(2) * F.nullif(n, F.lit(0)))
     return (F.signum(sum_cents).cast("bigint") * quotient).cast("double") / F.lit(100)
 
 
 def money_avg(c: str | Column) -> Column:
-    """``round(avg(c), 2)`` with exact half-up rounding on cents."""
+    """``round(avg(c), 2)`` with exact half-up rounding on cents (``c`` is DECIMAL money)."""
     x = _col(c)
-    return avg_cents_half_up(F.sum(cents(x)), F.count(x))
+    return avg_cents_half_up(F.sum(x) * 100, F.count(x))
 
 
 def exact_mean(c: str | Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions.columns import resolve_column
-from mercato.functions.money import avg_cents_half_up, cents, money_avg, money_sum_or_zero
+from mercato.functions.money import avg_cents_half_up, money_avg, money_sum_or_zero
 from mercato.operators.clean import dedupe_by_key
 from mercato.operators.shape import top_n
 from mercato.plans.labels import PRODUCT_CATEGORY_CANDIDATES, add_product_labels
@@ -87,7 +87,7 @@ def category_order_volume(fact_order_items: DataFrame, dim_products: DataFrame)
     Items are first reduced to (product, order) pairs, then categorised.
     """
     pairs = fact_order_items.groupBy("product_id", "order_id").agg(
-        F.sum(cents("price")).alias("_cents"), F.count("price").alias("_priced")
+        F.sum("price").alias("_revenue"), F.count("price").alias("_priced")
     )
     joined = pairs.join(product_category_lookup(dim_products), "product_id", "inner")
     agg = (
@@ -95,11 +95,12 @@ def category_order_volume(fact_order_items: DataFrame, dim_products: DataFrame)
         .groupBy("category")
         .agg(
             F.countDistinct("order_id").alias("orders"),
-            F.sum("_cents").alias("_cents"),
+            F.sum("_revenue").alias("_revenue"),
             F.sum("_priced").alias("_priced"),
         )
     )
-    out = agg.select("category", "orders", avg_cents_half_up(F.col("_cents"), F.col("_priced")).alias("average_price"))
+    average = avg_cents_half_up(F.col("_revenue") * 100, F.col("_priced"))
+    out = agg.select("category", "orders", average.alias("average_price"))
     return out.orderBy(F.col("orders").desc(), F.col("category").asc())
 
 

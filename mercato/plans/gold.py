@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.functions.money import cents, money_avg, money_sum, avg_cents_half_up
+from mercato.functions.money import avg_cents_half_up, money_avg, money_sum
 from mercato.operators.clean import dedupe_by_key, project
 from mercato.operators.shape import broadcast_if_small
 
@@ -54,8 +54,8 @@ def fact_orders(orders: DataFrame, order_items: DataFrame, how: str = "left") ->
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', got {how!r}")
     joined = orders.join(order_metrics(order_items), on="order_id", how=how)
-    cols = FACT_ORDERS_BASE + (FACT_ORDERS_DELIVERY if how == "left" else ()) + ORDER_METRICS
-    return project(joined, cols)
+    delivery = tuple(c for c in FACT_ORDERS_DELIVERY if c in joined.columns) if how == "left" else ()
+    return project(joined, FACT_ORDERS_BASE + delivery + ORDER_METRICS)
 
 
 def fact_order_items(order_items: DataFrame) -> DataFrame:
@@ -126,7 +126,6 @@ def sales_by_category(order_items: DataFrame, products: DataFrame, translation:
     per_product = order_items.groupBy("product_id").agg(
         F.count("order_item_id").alias("_units"),
         F.sum("price").alias("_revenue"),
-        F.sum(cents("price")).alias("_cents"),
         F.count("price").alias("_priced"),
     )
     cp = category_products(products, translation)
@@ -137,12 +136,11 @@ def sales_by_category(order_items: DataFrame, products: DataFrame, translation:
     agg = joined.groupBy(*keys).agg(
         F.coalesce(F.sum("_units"), F.lit(0)).cast("bigint").alias("units_sold"),
         F.round(F.sum("_revenue"), 2).alias("category_revenue"),
-        F.sum("_cents").alias("_cents"),
         F.sum("_priced").alias("_priced"),
     )
     return agg.select(
         *keys, "units_sold", "category_revenue",
-        avg_cents_half_up(F.col("_cents"), F.col("_priced")).alias("average_price"),
+        avg_cents_half_up(F.col("category_revenue") * 100, F.col("_priced")).alias("average_price"),
     )
 
 
