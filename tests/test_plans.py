@@ -46,10 +46,11 @@ def test_category_mart_joins_at_product_grain(spark):
     assert "partial_count" in p[first_join:]
 
 
-def test_no_cartesian_products(spark):
+def test_no_cartesian_products_and_no_python_udfs(spark):
     for name, q in QUERIES.items():
         text = plan(q(spark, SF001))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+        assert "EvalPython" not in text and "PythonUDF" not in text, name
 
 
 def test_bucketed_facts_join_without_shuffle(spark, tmp_dir):
