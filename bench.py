@@ -50,7 +50,7 @@ def main() -> None:
     )
     scratch = tempfile.mkdtemp(prefix="mercato-bench-")
     results: dict[str, float] = {}
-    for name in subset or list(QUERIES):
+    for name in [q for q in subset if q in QUERIES] if subset else list(QUERIES):
         results[name] = round(timed(lambda n=name: run_noop(QUERIES[n](spark, sf_dir)), repeats), 3)
     if not subset or "gold_build" in subset:
         counter = iter(range(10**6))

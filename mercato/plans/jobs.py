@@ -6,7 +6,8 @@ analytics, so no table is recomputed per consumer.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,10 +15,25 @@ from mercato.plans import gold
 from mercato.sources.layers import read_layer, read_layer_optional, write_bucketed, write_layer
 from mercato.sources.serving import write_serving
 
+# Fixed value: table writes submitted to the cluster at the same time.
+DEFAULT_PARALLEL_WRITES = 4
 # Silver inputs the gold job needs (translation is optional).
 REQUIRED_SILVER = ("orders", "order_items", "customers", "products", "sellers", "payments", "reviews")
 
 
+def run_writes(writes: Mapping[str, Callable[[], str]], parallel: int = DEFAULT_PARALLEL_WRITES) -> dict[str, str]:
+    """Run independent table writes, several at once.
+
+    Each write is its own Spark job; submitting them from a few driver threads
+    lets small tables share the cluster with large ones instead of queueing.
+    """
+    if parallel <= 1 or len(writes) <= 1:
+        return {name: write() for name, write in writes.items()}
+    with ThreadPoolExecutor(max_workers=parallel, thread_name_prefix="mercato-write") as pool:
+        futures = {name: pool.submit(write) for name, write in writes.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def read_silver(spark: SparkSession, silver_root: str) -> dict[str, DataFrame]:
     silver = {name: read_layer(spark, silver_root, name) for name in REQUIRED_SILVER}
     translation = read_layer_optional(spark, silver_root, "category_translation")
@@ -36,6 +52,7 @@ def build_gold(
     bucket_by: Mapping[str, str] | None = None,
     buckets: int = 0,
     table_prefix: str = "",
+    parallel: int = DEFAULT_PARALLEL_WRITES,
 ) -> dict[str, str]:
     """Write the gold tables (all ten by default); ``how="inner"`` gives the
     local 7-column ``fact_orders``.
@@ -49,13 +66,14 @@ def build_gold(
     bucket_by = dict(bucket_by or {})
     if bucket_by and buckets <= 0:
         raise ValueError("buckets must be positive when bucket_by is given")
-    out = {}
+    writes = {}
     for name in wanted:
         if name in bucket_by:
-            out[name] = write_bucketed(frames[name], gold_root, name, table_prefix + name, bucket_by[name], buckets)
+            writes[name] = (lambda n=name: write_bucketed(
+                frames[n], gold_root, n, table_prefix + n, bucket_by[n], buckets))
         else:
-            out[name] = write_layer(frames[name], gold_root, name)
-    return out
+            writes[name] = lambda n=name: write_layer(frames[n], gold_root, n)
+    return run_writes(writes, parallel)
 
 
 def read_gold(

@@ -47,16 +47,20 @@ def build_silver(
     silver_root: str,
     entities: Iterable[str] | None = None,
     on_missing: str = "skip",
+    parallel: int = 4,
 ) -> dict[str, str]:
     """Run the silver job; returns ``entity -> written path``.
 
     ``on_missing="skip"`` reports and skips absent inputs, ``"error"`` raises.
+    Up to ``parallel`` entity writes run at once.
     """
-    written = {}
+    from mercato.plans.jobs import run_writes
+
+    writes = {}
     for name in entities or ENTITIES:
         reader = read_optional if on_missing == "skip" else read_required
         raw = reader(spark, bronze_root, name)
         if raw is None:
             continue
-        written[name] = write_layer(silver_entity(raw, name), silver_root, name)
-    return written
+        writes[name] = lambda n=name, df=silver_entity(raw, name): write_layer(df, silver_root, n)
+    return run_writes(writes, parallel)
