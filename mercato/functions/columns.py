@@ -68,7 +68,14 @@ def to_number(c: str | Column) -> Column:
 
 
 def to_datetime(c: str | Column, fmt: str | None = None) -> Column:
-    """Tolerant timestamp parsing: malformed values become NULL (ANSI-safe)."""
+    """Tolerant timestamp parsing to a wall-clock ``TIMESTAMP_NTZ``; malformed values
+    become NULL (ANSI-safe).
+
+    Source timestamps carry no zone, so they are kept as local wall-clock values:
+    the result does not depend on the session time zone.
+    """
     x = F.col(c) if isinstance(c, str) else c
     text = x.cast("string")
-    return F.try_to_timestamp(text, F.lit(fmt)) if fmt else F.try_to_timestamp(text)
+    if fmt:
+        return F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz")
+    return text.try_cast("timestamp_ntz")
