@@ -198,3 +198,26 @@ def test_cli_jobs_end_to_end(spark, bronze_root, tmp_dir, capsys):
     assert sum(r.units_sold for r in top) == 3
     sellers = PAGES["seller"]({"fact_order_items": gold["fact_order_items"]})["top_sellers_by_items"].collect()
     assert sorted(r.seller_label for r in sellers) == ["s1", "s2"]
+
+
+def test_local_path_inner_gold_into_typed_serving_tables(spark, bronze_root, tmp_dir):
+    silver_root = os.path.join(tmp_dir, "local_silver")
+    gold_root = os.path.join(tmp_dir, "local_gold")
+    written = build_silver(spark, bronze_root, silver_root, entities=["orders", "customers", "order_items"])
+    assert set(written) == {"orders", "customers", "order_items"}
+    silver = {n: read_layer(spark, silver_root, n) for n in written}
+    from mercato.plans import gold as g
+
+    frames = {
+        "fact_orders": g.fact_orders(silver["orders"], silver["order_items"], how="inner"),
+        "dim_customers": g.dim_customers(silver["customers"]),
+    }
+    for name, df in frames.items():
+        table = f"local_{name}"
+        serving.ensure_table(spark, table, SERVING_DDL[name])
+        serving.write_serving(df, table, mode="truncate")
+        serving.write_serving(df, table, mode="truncate")  # reload replaces rows, keeps the table
+    fo = spark.table("local_fact_orders")
+    assert fo.count() == 2
+    assert dict(fo.dtypes)["total_order_value"] == "decimal(10,2)" and dict(fo.dtypes)["item_count"] == "int"
+    assert spark.table("local_dim_customers").count() == 2
