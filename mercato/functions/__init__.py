@@ -11,7 +11,6 @@ from mercato.functions.columns import (  # noqa: F401
 from mercato.functions.formatting import format_count, format_money  # noqa: F401
 from mercato.functions.money import (  # noqa: F401
     MONEY,
-    cents,
     exact_mean,
     money_avg,
     money_sum,

@@ -45,11 +45,6 @@ def money_sum_or_zero(c: str | Column) -> Column:
     return F.coalesce(F.sum(_col(c)), F.lit(0).cast(MONEY))
 
 
-def cents(c: str | Column) -> Column:
-    """Amount in integer cents (exact for 2-scale decimals)."""
-    return (_col(c) * 100).cast("bigint")
-
-
 def avg_cents_half_up(sum_cents: Column, n: Column) -> Column:
     """Average of cent amounts rounded half away from zero, as a double in units.
 
