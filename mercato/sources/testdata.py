@@ -153,3 +153,19 @@ ENTITIES = {
     "reviews": reviews,
     "geolocation": geolocation,
 }
+
+
+def write_bronze_csv(spark: SparkSession, sf_dir: str, bronze_root: str) -> dict[str, str]:
+    """Write the entity views as raw CSV files (text, header) under ``bronze_root``,
+    named like the source files, so the silver job can run on data derived from
+    the test tables."""
+    from mercato.contracts import ENTITIES as CONTRACTS
+
+    out = {}
+    for name, build in ENTITIES.items():
+        df = build(spark, sf_dir)
+        text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+        path = f"{bronze_root.rstrip('/')}/{CONTRACTS[name].file}"
+        text.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+        out[name] = path
+    return out
