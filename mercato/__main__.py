@@ -40,6 +40,7 @@ def parser() -> argparse.ArgumentParser:
     silver.add_argument("--silver", required=True)
     silver.add_argument("--entities", nargs="*")
     silver.add_argument("--on-missing", choices=["skip", "error"], default="skip")
+    silver.add_argument("--from-landed", action="store_true", help="read landed bronze parquet instead of raw CSV")
 
     gold = sub.add_parser("gold", help="silver parquet -> gold parquet")
     gold.add_argument("--silver", required=True)
@@ -82,7 +83,9 @@ def main(argv: list[str] | None = None) -> int:
     elif args.command == "silver":
         from mercato.plans.silver import build_silver
 
-        for name, path in build_silver(spark, args.bronze, args.silver, args.entities, args.on_missing).items():
+        source = "landed" if args.from_landed else "csv"
+        written = build_silver(spark, args.bronze, args.silver, args.entities, args.on_missing, source=source)
+        for name, path in written.items():
             print(f"{name}: {path}")
     elif args.command == "gold":
         from mercato.plans.jobs import build_gold

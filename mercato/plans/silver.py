@@ -17,7 +17,7 @@ from mercato.contracts import ENTITIES, Entity
 from mercato.functions.columns import clean_columns
 from mercato.functions.money import try_money
 from mercato.operators.clean import dedupe_rows, normalise_columns, parse_timestamps
-from mercato.sources.bronze import read_optional, read_required
+from mercato.sources.bronze import MissingSourceError, read_landed, read_optional, read_required
 from mercato.sources.layers import write_layer
 
 
@@ -48,18 +48,28 @@ def build_silver(
     entities: Iterable[str] | None = None,
     on_missing: str = "skip",
     parallel: int = 4,
+    source: str = "csv",
 ) -> dict[str, str]:
     """Run the silver job; returns ``entity -> written path``.
 
+    ``source="csv"`` reads the raw files; ``source="landed"`` reads the bronze
+    parquet written by landing (splittable, multi-line text already parsed).
     ``on_missing="skip"`` reports and skips absent inputs, ``"error"`` raises.
     Up to ``parallel`` entity writes run at once.
     """
     from mercato.plans.jobs import run_writes
 
+    if source not in ("csv", "landed"):
+        raise ValueError(f"source must be 'csv' or 'landed', got {source!r}")
     writes = {}
     for name in entities or ENTITIES:
-        reader = read_optional if on_missing == "skip" else read_required
-        raw = reader(spark, bronze_root, name)
+        if source == "landed":
+            raw = read_landed(spark, bronze_root, name)
+            if raw is None and on_missing == "error":
+                raise MissingSourceError(f"required input {name!r} not landed under {bronze_root}")
+        else:
+            reader = read_optional if on_missing == "skip" else read_required
+            raw = reader(spark, bronze_root, name)
         if raw is None:
             continue
         writes[name] = lambda n=name, df=silver_entity(raw, name): write_layer(df, silver_root, n)

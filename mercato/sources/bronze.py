@@ -62,6 +62,22 @@ def read_required(spark: SparkSession, root: str, entity: str, infer: bool = Fal
         raise
 
 
+# Lineage columns added when raw files are landed.
+LINEAGE_COLUMNS = ("_source_file", "_loaded_at")
+
+
+def read_landed(spark: SparkSession, bronze_root: str, entity: str) -> DataFrame | None:
+    """Landed bronze parquet for an entity without its lineage columns, or ``None``."""
+    path = f"{bronze_root.rstrip('/')}/{entity}"
+    try:
+        df = spark.read.parquet(path)
+    except AnalysisException as err:
+        if _is_missing(err):
+            return None
+        raise
+    return df.drop(*LINEAGE_COLUMNS)
+
+
 def land_raw(spark: SparkSession, src: str, bronze_root: str, entity: str, multiline: bool | None = None) -> str:
     """Land raw CSV files unchanged (all text) as a parquet bronze table.
 

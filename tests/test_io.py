@@ -242,3 +242,21 @@ def test_silver_job_on_csv_derived_from_test_tables(spark, tmp_dir):
     right = {(str(r.review_id), r.review_comment_message) for r in src_reviews.collect()}
     assert left == right  # quoted JSON text survives the CSV round trip
     assert reviews.filter("review_score IS NULL").count() == src_reviews.filter("review_score = 'n/a'").count()
+
+
+def test_silver_from_landed_bronze_equals_silver_from_csv(spark, bronze_root, tmp_dir):
+    landed_root = os.path.join(tmp_dir, "landed")
+    for name in ["orders", "reviews", "order_items"]:
+        bronze.land_raw(spark, os.path.join(bronze_root, ENTITIES[name].file), landed_root, name)
+    from_csv = build_silver(spark, bronze_root, os.path.join(tmp_dir, "s_csv"), entities=["orders", "reviews",
+                                                                                           "order_items"])
+    from_landed = build_silver(spark, landed_root, os.path.join(tmp_dir, "s_landed"),
+                               entities=["orders", "reviews", "order_items"], source="landed")
+    for name in from_csv:
+        a = spark.read.parquet(from_csv[name])
+        b = spark.read.parquet(from_landed[name])
+        assert a.columns == b.columns
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+    with pytest.raises(bronze.MissingSourceError):
+        build_silver(spark, landed_root, os.path.join(tmp_dir, "s_err"), entities=["sellers"], source="landed",
+                     on_missing="error")
