@@ -70,6 +70,9 @@ def test_bronze_reads_and_missing_sources(spark, bronze_root, tmp_dir):
     assert reviews.schema["review_score"].dataType.simpleString() == "string"
     translation = bronze.read_bronze(spark, bronze_root, "category_translation")
     assert translation.columns == ["product_category_name", "product_category_name_english"]  # BOM stripped
+    inferred = bronze.read_bronze(spark, bronze_root, "payments", infer=True)
+    assert dict(inferred.dtypes)["payment_value"] == "double"  # the inference variant (extra pass)
+    assert dict(bronze.read_bronze(spark, bronze_root, "payments").dtypes)["payment_value"] == "string"
     empty = os.path.join(tmp_dir, "empty")
     os.makedirs(empty)
     assert bronze.read_optional(spark, empty, "orders") is None
