@@ -564,3 +564,6 @@ oc AS (SELECT DISTINCT order_id, customer_id FROM fact_orders)
 SELECT c.customer_state, CAST(sum(p.n) AS BIGINT) AS reviews, CAST(sum(p.s) AS DOUBLE) / sum(p.n) AS average_rating
 FROM per_order p JOIN oc ON p.order_id = oc.order_id JOIN customer_one c ON oc.customer_id = c.customer_id
 WHERE c.customer_state IS NOT NULL GROUP BY 1""")
+ORACLE["silver_translation"] = q("""
+SELECT DISTINCT lower(trim(p_type)) AS product_category_name, lower(p_type) || '_en' AS product_category_name_english
+FROM part""")

@@ -74,6 +74,17 @@ def _silver_products(m: Model) -> DataFrame:
     return dedupe_rows(normalise_columns(raw, ["product_category_name"]))
 
 
+def _silver_translation(m: Model) -> DataFrame:
+    """Translation rows derived from the raw part types (upper case, as landed),
+    normalised on the join key and de-duplicated like the silver job does."""
+    part = testdata.table(m.spark, m.sf_dir, "part")
+    raw = part.select(
+        F.col("p_type").alias("product_category_name"),
+        F.concat(F.lower(F.col("p_type")), F.lit("_en")).alias("product_category_name_english"),
+    )
+    return dedupe_rows(normalise_columns(raw, ["product_category_name"]))
+
+
 def _dedupe_lineitem(m: Model) -> DataFrame:
     li = testdata.table(m.spark, m.sf_dir, "lineitem")
     return dedupe_by_key(li, ["l_orderkey", "l_linenumber"])
@@ -189,6 +200,7 @@ _QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     "silver_customers": lambda m: dedupe_rows(clean_columns(_dirty_names(m.customers))),
     "silver_orders": _silver_orders,
     "silver_products": _silver_products,
+    "silver_translation": _silver_translation,
     "dedupe_by_key": _dedupe_lineitem,
     "clean_columns": lambda m: clean_columns(_dirty_names(m.order_items)),
     "to_number": lambda m: m.fact_reviews.select(
