@@ -13,7 +13,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 from pathlib import Path
 
@@ -24,7 +23,7 @@ from mercato.plans.silver import build_silver  # noqa: E402
 from mercato.sources.testdata import write_bronze_csv  # noqa: E402
 from mercato.plans.model import Model  # noqa: E402
 from mercato.registry import QUERIES  # noqa: E402
-from mercato.session import build_session  # noqa: E402
+from mercato.session import build_session, ensure_checkpoint_dir  # noqa: E402
 
 
 def run_noop(df) -> None:
@@ -50,7 +49,8 @@ def main() -> None:
         f"local[{cpus}]", app_name="mercato-bench", shuffle_partitions=cpus * 2,
         extra={"spark.driver.memory": "16g"},
     )
-    scratch = tempfile.mkdtemp(prefix="mercato-bench-")
+    # outputs of the job benchmarks go under the session's (shared) checkpoint folder
+    scratch = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bench-{os.getpid()}"
     results: dict[str, float] = {}
     for name in [q for q in subset if q in QUERIES] if subset else list(QUERIES):
         results[name] = round(timed(lambda n=name: run_noop(QUERIES[n](spark, sf_dir)), repeats), 3)
