@@ -93,8 +93,10 @@ NOTES = """
   (ten counts) and `orphan_keys` (six key-grain anti-joins). Their shuffles carry
   per-key counts, not rows.
 * **SortAggregate** appears only where the aggregate buffer is a string or a struct
-  (deterministic per-key survivor of a dimension, minimum label); inputs there are
-  dimension-sized.
+  (deterministic per-key survivor, minimum label). Inputs are dimension-sized except
+  for the `dedupe_by_key` operator on the item fact, which is a sort-based partial +
+  final aggregate: it spills instead of holding groups in memory, and a hot key is
+  reduced in every map task.
 * **No plan contains a Cartesian product, a nested-loop join or a Python UDF**
   (asserted in `tests/test_plans.py`); the only global window is the bounded share
   in `payment_behaviour`.
