@@ -1,7 +1,7 @@
 """Command-line jobs: ``python -m mercato <command> ...``.
 
 Commands: ``land`` (raw files -> bronze parquet, batch or incremental),
-``silver``, ``gold``, ``init-serving`` (typed serving tables), ``serve``
+``quality`` (contract violations in the raw files), ``silver``, ``gold``, ``init-serving`` (typed serving tables), ``serve``
 (load gold into serving tables), ``counts`` (row count per serving table).
 Connection options for JDBC are passed by the caller (``--jdbc key=value``).
 """
@@ -61,6 +61,10 @@ def parser() -> argparse.ArgumentParser:
     serve.add_argument("--mode", choices=["replace", "truncate"], default="replace")
     serve.add_argument("--jdbc", action="append", metavar="KEY=VALUE", help="JDBC writer option (repeatable)")
 
+    dq = sub.add_parser("quality", help="contract violations per raw entity (before typing)")
+    dq.add_argument("--bronze", required=True)
+    dq.add_argument("--entities", nargs="*")
+
     counts = sub.add_parser("counts", help="row count per serving table")
     counts.add_argument("--tables", nargs="*", default=list(GOLD_TABLES))
     return ap
@@ -107,6 +111,12 @@ def main(argv: list[str] | None = None) -> int:
 
         for name in load_serving(spark, args.gold, args.tables, mode=args.mode, jdbc_options=_options(args.jdbc)):
             print(f"{name}: loaded")
+    elif args.command == "quality":
+        from mercato.plans.quality import bronze_quality_report
+
+        report = bronze_quality_report(spark, args.bronze, args.entities)
+        for row in report.filter("violations > 0").orderBy("entity", "column_name", "rule").collect():  # small report
+            print(f"{row.entity}.{row.column_name} {row.rule}: {row.violations:,}")
     elif args.command == "counts":
         from mercato.plans.quality import table_counts
 

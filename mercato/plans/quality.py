@@ -146,3 +146,37 @@ def table_health(spark: SparkSession, expected: Sequence[str], database: str | N
     rows = [(i, name, "Yes" if name in present else "No") for i, name in enumerate(expected)]
     df = spark.createDataFrame(rows, "position int, table_name string, available string")
     return df.orderBy("position").drop("position")
+
+
+def entity_rules(entity) -> list[Rule]:
+    """Contract rules for a raw entity: parseable timestamps, money and integers,
+    and a non-NULL, unique key (single-column keys)."""
+    rules = [Rule(c, "timestamp") for c in entity.timestamps]
+    rules += [Rule(c, "numeric", precision=18, scale=2) for c in entity.money]
+    rules += [Rule(c, "int") for c in entity.integers]
+    for k in entity.keys:
+        rules.append(Rule(k, "not_null"))
+    if len(entity.keys) == 1:
+        rules.append(Rule(entity.keys[0], "unique"))
+    return rules
+
+
+def bronze_quality_report(spark: SparkSession, bronze_root: str, entities: Iterable[str] | None = None) -> DataFrame:
+    """``entity, column_name, rule, violations`` over every raw entity present,
+    checked against its contract before typing (one aggregation pass per entity)."""
+    from mercato.contracts import ENTITIES
+    from mercato.functions.columns import clean_columns
+    from mercato.sources.bronze import read_optional
+
+    parts = []
+    for name in entities or ENTITIES:
+        entity = ENTITIES[name]
+        rules = entity_rules(entity)
+        raw = read_optional(spark, bronze_root, name)
+        if raw is None or not rules:
+            continue
+        report = schema_enforcement(clean_columns(raw), rules)
+        parts.append(report.select(F.lit(name).alias("entity"), "column_name", "rule", "violations"))
+    if not parts:
+        return spark.createDataFrame([], "entity string, column_name string, rule string, violations bigint")
+    return reduce(DataFrame.unionByName, parts)

@@ -263,3 +263,20 @@ def test_silver_from_landed_bronze_equals_silver_from_csv(spark, bronze_root, tm
     with pytest.raises(bronze.MissingSourceError):
         build_silver(spark, landed_root, os.path.join(tmp_dir, "s_err"), entities=["sellers"], source="landed",
                      on_missing="error")
+
+
+def test_bronze_quality_report_counts_contract_violations(spark, bronze_root, capsys):
+    report = quality.bronze_quality_report(spark, bronze_root)
+    got = {(r.entity, r.column_name, r.rule): r.violations for r in report.collect()}
+    assert got[("orders", "order_purchase_timestamp", "timestamp")] == 1  # "junk"
+    assert got[("orders", "order_id", "unique")] == 1  # one exact duplicate row
+    assert got[("order_items", "price", "numeric(18,2)")] == 1  # "abc"
+    assert got[("sellers", "seller_zip_code_prefix", "int")] == 1  # "x"
+    assert got[("customers", "customer_id", "unique")] == 1
+    assert got[("reviews", "review_score", "int")] == 0
+    assert not any(k[0] == "geolocation" for k in got)  # absent file skipped
+    from mercato.__main__ import main
+
+    assert main(["quality", "--bronze", bronze_root, "--entities", "orders"]) == 0
+    out = capsys.readouterr().out
+    assert "orders.order_purchase_timestamp timestamp: 1" in out
