@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import datetime, timezone
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,13 +65,30 @@ def read_required(spark: SparkSession, root: str, entity: str, infer: bool = Fal
         raise
 
 
-# Lineage columns added when raw files are landed.
-LINEAGE_COLUMNS = ("_source_file", "_loaded_at")
+# Lineage columns added when raw files are landed (``_load`` is the
+# partition directory of one landing run).
+LINEAGE_COLUMNS = ("_source_file", "_loaded_at", "_load")
+
+
+def landed_path(bronze_root: str, entity: str) -> str:
+    return f"{bronze_root.rstrip('/')}/{entity}"
+
+
+def write_landed(df: DataFrame, bronze_root: str, entity: str, load_id: str) -> str:
+    """Write one landing run into its own ``_load=<id>`` directory.
+
+    Overwriting that directory makes a retried run replace its own output, and
+    batch and streaming landings can share the folder (plain parquet files, no
+    streaming sink log that would hide the batch files from readers).
+    """
+    path = f"{landed_path(bronze_root, entity)}/_load={load_id}"
+    df.write.mode("overwrite").parquet(path)
+    return path
 
 
 def read_landed(spark: SparkSession, bronze_root: str, entity: str) -> DataFrame | None:
     """Landed bronze parquet for an entity without its lineage columns, or ``None``."""
-    path = f"{bronze_root.rstrip('/')}/{entity}"
+    path = landed_path(bronze_root, entity)
     try:
         df = spark.read.parquet(path)
     except AnalysisException as err:
@@ -93,6 +113,6 @@ def land_raw(spark: SparkSession, src: str, bronze_root: str, entity: str, multi
         F.col("_metadata.file_path").alias("_source_file"),
         F.current_timestamp().alias("_loaded_at"),
     )
-    out = f"{bronze_root.rstrip('/')}/{entity}"
-    landed.write.mode("append").parquet(out)
-    return out
+    load_id = "batch-" + datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f") + "-" + uuid.uuid4().hex[:8]
+    write_landed(landed, bronze_root, entity, load_id)
+    return landed_path(bronze_root, entity)

@@ -1,21 +1,24 @@
 """Incremental bronze landing with Structured Streaming.
 
-Raw files dropped into a landing folder are appended to the bronze parquet
-table exactly once: the file source remembers processed files in its
-checkpoint, and ``availableNow`` processes whatever has arrived and stops, so
-the same job runs on a schedule (the batch refresh cadence) or continuously.
+Raw files dropped into a landing folder are added to the bronze parquet table
+exactly once: the file source remembers processed files in its checkpoint, each
+micro-batch is written to its own ``_load=stream-<batch id>`` directory (a retry
+overwrites the same directory), and ``availableNow`` processes whatever has
+arrived and stops, so the same job runs on a schedule or continuously. Batch
+landings (``land_raw``) write ``_load=batch-...`` directories in the same folder.
 Checkpoints live under the session's shared ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from mercato.contracts import ENTITIES
 from mercato.session import ensure_checkpoint_dir
+from mercato.sources.bronze import write_landed
 
 
 def text_schema(spark: SparkSession, landing_dir: str, entity: str) -> T.StructType:
@@ -51,11 +54,14 @@ def start_landing(
         "*", F.col("_metadata.file_path").alias("_source_file"), F.current_timestamp().alias("_loaded_at")
     )
     ckpt = f"{(checkpoint_root or ensure_checkpoint_dir(spark)).rstrip('/')}/landing/{entity}"
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        # a retried micro-batch covers the same files and overwrites its own directory
+        write_landed(batch, bronze_root, entity, f"stream-{batch_id:012d}")
+
     writer = (
-        landed.writeStream.format("parquet")
-        .option("path", f"{bronze_root.rstrip('/')}/{entity}")
+        landed.writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", ckpt)
-        .outputMode("append")
         .queryName(f"landing_{entity}")
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

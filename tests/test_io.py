@@ -280,3 +280,20 @@ def test_bronze_quality_report_counts_contract_violations(spark, bronze_root, ca
     assert main(["quality", "--bronze", bronze_root, "--entities", "orders"]) == 0
     out = capsys.readouterr().out
     assert "orders.order_purchase_timestamp timestamp: 1" in out
+
+
+def test_cli_land_and_init_serving(spark, bronze_root, tmp_dir):
+    from mercato.__main__ import main
+
+    landed = os.path.join(tmp_dir, "cli_landed")
+    src = os.path.join(bronze_root, ENTITIES["payments"].file)
+    assert main(["land", "--src", src, "--bronze", landed, "--entity", "payments"]) == 0
+    assert spark.read.parquet(os.path.join(landed, "payments")).count() == 2
+    incoming = os.path.join(tmp_dir, "incoming")
+    os.makedirs(incoming)
+    with open(os.path.join(incoming, "a.csv"), "w") as fh:
+        fh.write("order_id,payment_sequential,payment_type,payment_installments,payment_value\no9,1,voucher,1,1.00\n")
+    assert main(["land", "--src", incoming, "--bronze", landed, "--entity", "payments", "--incremental"]) == 0
+    assert spark.read.parquet(os.path.join(landed, "payments")).count() == 3
+    assert main(["init-serving"]) == 0
+    assert {"fact_orders", "dim_customers"} <= set(serving.list_tables(spark)) or spark.catalog.tableExists("fact_orders")
