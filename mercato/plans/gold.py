@@ -53,7 +53,17 @@ def fact_orders(orders: DataFrame, order_items: DataFrame, how: str = "left") ->
     ``inner`` is the 7-column local form."""
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', got {how!r}")
-    joined = orders.join(order_metrics(order_items), on="order_id", how=how)
+    metrics = order_metrics(order_items)
+    keyed = orders.filter(F.col("order_id").isNotNull())
+    joined = keyed.join(metrics, on="order_id", how=how)
+    if how == "left":
+        # Orders without an id can never match: they bypass the join (instead of all
+        # hashing to one reducer) and get NULL metrics. The IS NULL scan skips row
+        # groups whose null count is 0.
+        unkeyed = orders.filter(F.col("order_id").isNull()).withColumns(
+            {c: F.lit(None).cast(metrics.schema[c].dataType) for c in ORDER_METRICS}
+        )
+        joined = joined.unionByName(unkeyed)
     delivery = tuple(c for c in FACT_ORDERS_DELIVERY if c in joined.columns) if how == "left" else ()
     return project(joined, FACT_ORDERS_BASE + delivery + ORDER_METRICS)
 

@@ -287,3 +287,22 @@ def test_gold_rebuild_is_idempotent(spark, tmp_dir):
     build_gold(spark, "", out, tables=["sales_by_seller", "dim_products"], silver=m.silver())
     second = {t: sorted(map(repr, rows(spark.read.parquet(f"{out}/{t}")))) for t in ["sales_by_seller", "dim_products"]}
     assert first == second
+
+
+def test_fact_orders_null_order_ids_bypass_the_join(spark):
+    orders = spark.createDataFrame(
+        [(1, 10, "d", None), (None, 11, "d", None), (None, 12, "x", None), (2, 13, "d", None)],
+        "order_id int, customer_id int, order_status string, order_purchase_timestamp timestamp_ntz",
+    )
+    items = spark.createDataFrame(
+        [(1, 1, D("2.00"), D("0.50")), (None, 1, D("9.00"), D("1.00"))],
+        "order_id int, order_item_id int, price decimal(18,2), freight_value decimal(18,2)",
+    )
+    left = sorted(rows(gold.fact_orders(orders, items)), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    assert left == [
+        (1, 10, "d", None, D("2.00"), D("0.50"), 1),
+        (2, 13, "d", None, None, None, None),
+        (None, 11, "d", None, None, None, None),
+        (None, 12, "x", None, None, None, None),
+    ]
+    assert rows(gold.fact_orders(orders, items, how="inner")) == [(1, 10, "d", None, D("2.00"), D("0.50"), 1)]
