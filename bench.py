@@ -52,8 +52,16 @@ def main() -> None:
     # outputs of the job benchmarks go under the session's (shared) checkpoint folder
     scratch = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bench-{os.getpid()}"
     results: dict[str, float] = {}
+    errors: dict[str, str] = {}
+
+    def measure(name: str, fn) -> None:
+        try:
+            results[name] = round(timed(fn, repeats), 3)
+        except Exception as err:  # noqa: BLE001 - keep measuring the other queries
+            errors[name] = f"{type(err).__name__}: {str(err)[:200]}"
+
     for name in [q for q in subset if q in QUERIES] if subset else list(QUERIES):
-        results[name] = round(timed(lambda n=name: run_noop(QUERIES[n](spark, sf_dir)), repeats), 3)
+        measure(name, lambda n=name: run_noop(QUERIES[n](spark, sf_dir)))
     if not subset or "gold_build" in subset:
         counter = iter(range(10**6))
 
@@ -62,14 +70,12 @@ def main() -> None:
             m = Model(spark, sf_dir)
             build_gold(spark, "", out, silver=m.silver())
 
-        results["gold_build"] = round(timed(gold_job, repeats), 3)
+        measure("gold_build", gold_job)
     if not subset or "silver_build" in subset:
         bronze = f"{scratch}/bronze"
         write_bronze_csv(spark, sf_dir, bronze)  # derived raw files; not timed
         silver_runs = iter(range(10**6))
-        results["silver_build"] = round(
-            timed(lambda: build_silver(spark, bronze, f"{scratch}/silver-{next(silver_runs)}"), repeats), 3
-        )
+        measure("silver_build", lambda: build_silver(spark, bronze, f"{scratch}/silver-{next(silver_runs)}"))
     sf = Path(sf_dir).name.removeprefix("sf")
     print(json.dumps({
         "metric": "total_query_time",
@@ -81,6 +87,7 @@ def main() -> None:
         "repeats": repeats,
         "shuffle_partitions": cpus * 2,
         "spark": spark.version,
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 
