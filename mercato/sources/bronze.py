@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import uuid
 from datetime import datetime, timezone
 
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 
 from mercato.contracts import ENTITIES, Entity
 
+log = logging.getLogger(__name__)
+
 
 class MissingSourceError(FileNotFoundError):
     """A required input path does not exist."""
@@ -50,7 +53,7 @@ def read_optional(spark: SparkSession, root: str, entity: str, infer: bool = Fal
         return read_bronze(spark, root, entity, infer=infer)
     except AnalysisException as err:
         if _is_missing(err):
-            print(f"{entity}: source not found, skipped")
+            log.warning("%s: source not found, skipped", entity)
             return None
         raise
 

@@ -6,6 +6,7 @@ and no chunked inserts from one process).
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,8 @@ from pyspark.sql import types as T
 
 from mercato.plans.gold import GOLD_TABLES
 
+log = logging.getLogger(__name__)
+
 # Fixed value: rows per JDBC insert batch.
 JDBC_BATCH_ROWS = 5000
 
@@ -54,7 +57,7 @@ def table_or_empty(spark: SparkSession, name: str, schema: T.StructType | str) -
     """The table if it exists, else an empty frame with ``schema`` (and a warning)."""
     if spark.catalog.tableExists(name):
         return spark.table(name)
-    print(f"warning: table {name} not available; using an empty frame")
+    log.warning("table %s not available; using an empty frame", name)
     return spark.createDataFrame([], schema)
 
 
