@@ -38,6 +38,7 @@ def start_landing(
     checkpoint_root: str | None = None,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    trigger_interval: str = "1 minute",
 ) -> StreamingQuery:
     """Start the landing stream for one entity and return the running query."""
     e = ENTITIES.get(entity)
@@ -64,7 +65,7 @@ def start_landing(
         .option("checkpointLocation", ckpt)
         .queryName(f"landing_{entity}")
     )
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger_interval)
     return writer.start()
 
 

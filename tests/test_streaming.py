@@ -26,3 +26,24 @@ def test_landing_is_incremental_and_exactly_once(spark, tmp_dir):
     assert landed.count() == 3
     assert sorted(r.order_id for r in landed.collect()) == ["o1", "o2", "o3"]
     assert landed.select("_source_file").distinct().count() == 2
+
+
+def test_continuous_landing_processes_available_files_then_stops(spark, tmp_dir):
+    from mercato.streaming.landing import start_landing
+
+    landing = os.path.join(tmp_dir, "landing_c")
+    bronze_root = os.path.join(tmp_dir, "bronze_c")
+    os.makedirs(landing)
+    with open(os.path.join(landing, "p.csv"), "w") as fh:
+        fh.write("order_id,payment_sequential,payment_type,payment_installments,payment_value\n"
+                 "o1,1,credit_card,3,17.25\n")
+    query = start_landing(spark, landing, bronze_root, "payments", checkpoint_root=os.path.join(tmp_dir, "ck"),
+                          available_now=False, max_files_per_trigger=1, trigger_interval="1 second")
+    try:
+        query.processAllAvailable()
+        assert query.isActive
+    finally:
+        query.stop()
+    landed = spark.read.parquet(f"{bronze_root}/payments")
+    assert [r.order_id for r in landed.collect()] == ["o1"]
+    assert landed.select("_load").distinct().collect()[0][0].startswith("stream-")
