@@ -1,0 +1 @@
+"""Dashboard analytics as lazy DataFrame queries, one module per page."""

@@ -1,0 +1 @@
+"""Sources and sinks: raw CSV (bronze), parquet layers, serving tables, test-table entity views."""

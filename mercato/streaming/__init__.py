@@ -1,0 +1 @@
+"""Structured Streaming jobs (incremental bronze landing)."""
