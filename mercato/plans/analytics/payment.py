@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions.columns import to_number
@@ -42,14 +42,14 @@ def payment_usage_by_type(fact_payments: DataFrame) -> DataFrame:
 def payment_behaviour(fact_payments: DataFrame) -> DataFrame:
     """Per (type, instalments): payments, half-up average value, share of all payments.
 
-    The share's denominator is a window over the grouped result, whose size is
-    bounded by the number of (type, instalment) pairs, not by the data.
+    The share's denominator is a scalar subquery (one value computed from the
+    grouped result), so no window gathers the rows into a single partition.
     """
     grouped = (
         fact_payments.filter(F.col("payment_type").isNotNull() & F.col("payment_installments").isNotNull())
         .groupBy("payment_type", "payment_installments")
         .agg(F.count(F.lit(1)).alias("payments"), money_avg("payment_value").alias("avg_payment_value"))
     )
-    total = F.sum("payments").over(Window.partitionBy())
+    total = grouped.agg(F.sum("payments")).scalar()
     out = grouped.withColumn("share", F.col("payments").cast("double") / total)
     return out.orderBy("payment_type", "payment_installments")

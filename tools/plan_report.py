@@ -98,8 +98,8 @@ NOTES = """
   final aggregate: it spills instead of holding groups in memory, and a hot key is
   reduced in every map task.
 * **No plan contains a Cartesian product, a nested-loop join or a Python UDF**
-  (asserted in `tests/test_plans.py`); the only global window is the bounded share
-  in `payment_behaviour`.
+  (asserted in `tests/test_plans.py`), and no window function: the share in
+  `payment_behaviour` divides by a scalar subquery.
 """
 
 
