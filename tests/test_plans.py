@@ -1,6 +1,7 @@
 """Physical-plan properties that matter at scale (checked on the formatted plan text)."""
 
 import io
+import re
 from contextlib import redirect_stdout
 
 from mercato.registry import QUERIES
@@ -46,11 +47,12 @@ def test_category_mart_joins_at_product_grain(spark):
     assert "partial_count" in p[first_join:]
 
 
-def test_no_cartesian_products_and_no_python_udfs(spark):
+def test_no_cartesian_products_no_python_udfs_no_windows(spark):
     for name, q in QUERIES.items():
         text = plan(q(spark, SF001))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
         assert "EvalPython" not in text and "PythonUDF" not in text, name
+        assert not re.search(r"\bWindow \(", text), name  # no window gathers a group into one task
 
 
 def test_bucketed_facts_join_without_shuffle(spark, tmp_dir):
