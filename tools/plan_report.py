@@ -37,7 +37,7 @@ def summarise(text: str) -> dict[str, str]:
     for loc, schema in re.findall(r"Location: InMemoryFileIndex \[file:[^\]]*/([a-z_]+)\.parquet\]\n"
                                   r"(?:.*\n)*?ReadSchema: struct<([^>]*)>", text):
         cols = [c.split(":")[0] for c in schema.split(",") if c]
-        scans[loc] = cols
+        scans[loc] = max(scans.get(loc, []), cols, key=len)  # widest scan of the table
     return {
         "shuffles": str(count("Exchange")),
         "broadcasts": str(count("BroadcastExchange")),
