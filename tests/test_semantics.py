@@ -306,3 +306,11 @@ def test_fact_orders_null_order_ids_bypass_the_join(spark):
         (None, 12, "x", None, None, None, None),
     ]
     assert rows(gold.fact_orders(orders, items, how="inner")) == [(1, 10, "d", None, D("2.00"), D("0.50"), 1)]
+
+
+def test_display_formatters(spark):
+    from mercato.functions.formatting import format_one_decimal, format_percent, format_rating
+
+    df = spark.createDataFrame([(4.0 / 3, 12.345, 2.25), (None, None, None)], "r double, p double, i double")
+    got = [tuple(r) for r in df.select(format_rating("r"), format_percent("p"), format_one_decimal("i")).collect()]
+    assert got == [("1.33 / 5", "12.3%", "2.3"), ("—", "—", "—")]
