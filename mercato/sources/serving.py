@@ -16,14 +16,22 @@ from mercato.plans.gold import GOLD_TABLES
 
 log = logging.getLogger(__name__)
 
-# Fixed value: rows per JDBC insert batch.
+# Rows per JDBC insert batch, and the default cap on concurrent
+# database connections during a load.
 JDBC_BATCH_ROWS = 5000
+JDBC_MAX_CONNECTIONS = 16
 
 
 def jdbc_writer(df: DataFrame, options: Mapping[str, str], mode: str):
     """JDBC writer for ``truncate`` (keep the table, replace rows) or ``replace``
-    (drop and recreate). Connection options come from the caller."""
-    writer = df.write.format("jdbc").options(**options).option("batchsize", JDBC_BATCH_ROWS)
+    (drop and recreate). Connection options come from the caller.
+
+    Every writing partition holds one connection, so a large cluster would open
+    thousands at once; ``numPartitions`` (default 16, caller may override) makes
+    Spark coalesce to that many writers first.
+    """
+    opts = {"batchsize": str(JDBC_BATCH_ROWS), "numPartitions": str(JDBC_MAX_CONNECTIONS), **options}
+    writer = df.write.format("jdbc").options(**opts)
     if mode == "truncate":
         writer = writer.option("truncate", "true")
     return writer.mode("overwrite")
