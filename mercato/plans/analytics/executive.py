@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.functions.columns import resolve_column, to_number
+from mercato.functions.columns import resolve_column, to_datetime, to_number
 from mercato.functions.formatting import format_count, format_money
 from mercato.functions.money import MONEY, money_sum_or_zero
 from mercato.operators.shape import fill_month_gaps, month_end_ts, month_start, one_row, top_n
@@ -87,7 +87,7 @@ def monthly_revenue(fact_orders: DataFrame) -> DataFrame:
     date_col = resolve_column(fact_orders, DATE_CANDIDATES, strict=True)
     revenue_col = resolve_column(fact_orders, REVENUE_CANDIDATES, strict=True)
     ts = F.col(date_col) if fact_orders.schema[date_col].dataType.simpleString().startswith("timestamp") else (
-        F.try_to_timestamp(F.col(date_col).cast("string"))
+        to_datetime(date_col)
     )
     monthly = (
         fact_orders.select(ts.alias("_ts"), _money(fact_orders, revenue_col).alias("_v"))

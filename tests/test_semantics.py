@@ -314,3 +314,12 @@ def test_display_formatters(spark):
     df = spark.createDataFrame([(4.0 / 3, 12.345, 2.25), (None, None, None)], "r double, p double, i double")
     got = [tuple(r) for r in df.select(format_rating("r"), format_percent("p"), format_one_decimal("i")).collect()]
     assert got == [("1.33 / 5", "12.3%", "2.3"), ("—", "—", "—")]
+
+
+def test_monthly_revenue_parses_text_dates(spark):
+    orders = spark.createDataFrame(
+        [(1, "2021-01-31 23:30:00", D("1.00")), (2, "junk", D("5.00")), (3, "2021-02-01 00:10:00", D("2.00"))],
+        "order_id int, order_purchase_timestamp string, total_order_value decimal(18,2)",
+    )
+    got = rows(executive.monthly_revenue(orders).orderBy("month"))
+    assert got == [(dt.datetime(2021, 1, 31), D("1.00")), (dt.datetime(2021, 2, 28), D("2.00"))]
