@@ -134,10 +134,11 @@ def top_revenue_label(fact_order_items: DataFrame, dim_products: DataFrame) -> D
 
 def top_customer_city(dim_customers: DataFrame) -> DataFrame:
     city = resolve_column(dim_customers, ["customer_city", "city"], strict=True)
+    cid = resolve_column(dim_customers, ["customer_id"], strict=True)
     counts = (
         dim_customers.filter(F.col(city).isNotNull())
         .groupBy(F.col(city).alias("customer_city"))
-        .agg(F.countDistinct("customer_id").alias("customers"))
+        .agg(F.countDistinct(cid).alias("customers"))
     )
     return top_n(counts, "customers", "customer_city", 1)
 

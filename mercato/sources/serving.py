@@ -74,6 +74,13 @@ def list_tables(spark: SparkSession, database: str | None = None) -> list[str]:
     return sorted(t.name for t in tables)
 
 
+def available_tables(spark: SparkSession, preferred: Sequence[str] = GOLD_TABLES) -> list[str]:
+    """The preferred tables that exist in the catalog, in the preferred order (the
+    data explorer's table choice)."""
+    present = set(list_tables(spark))
+    return [name for name in preferred if name in present]
+
+
 def export_csv(df: DataFrame, path: str) -> str:
     """CSV with a header and no index column (one file per partition)."""
     df.write.mode("overwrite").option("header", True).csv(path)

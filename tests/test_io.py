@@ -124,6 +124,7 @@ def test_silver_gold_serving_round_trip(spark, bronze_root, tmp_dir):
     jobs.load_serving(spark, gold_root, tables=["fact_orders"], mode="truncate")
     assert spark.table("fact_orders").count() == 3
     assert {"dim_customers", "fact_orders"} <= set(serving.list_tables(spark))
+    assert serving.available_tables(spark)[:2] == ["fact_orders", "dim_customers"]  # preferred order
     health = {r.table_name: r.available for r in quality.table_health(spark, ["fact_orders", "dim_sellers"]).collect()}
     assert health == {"fact_orders": "Yes", "dim_sellers": "No"}
     with pytest.raises(ValueError):
