@@ -54,11 +54,32 @@ def write_serving(
         df.write.mode("overwrite").format("parquet").saveAsTable(table)
 
 
-def read_serving(spark: SparkSession, name: str, allowed: Sequence[str] = GOLD_TABLES) -> DataFrame:
-    """A serving table, only if it is one of the allowed names."""
+def read_serving(
+    spark: SparkSession,
+    name: str,
+    allowed: Sequence[str] = GOLD_TABLES,
+    jdbc_options: Mapping[str, str] | None = None,
+    partition_column: str | None = None,
+    bounds: tuple[int, int] | None = None,
+    num_partitions: int = JDBC_MAX_CONNECTIONS,
+) -> DataFrame:
+    """A serving table, only if it is one of the allowed names.
+
+    From the catalog by default; over JDBC when options are given. A JDBC read
+    with ``partition_column`` and ``bounds`` is split into ``num_partitions``
+    range queries instead of one connection reading the whole table.
+    """
     if name not in allowed:
         raise ValueError(f"table {name!r} is not a serving table")
-    return spark.table(name)
+    if jdbc_options is None:
+        return spark.table(name)
+    reader = spark.read.format("jdbc").options(**{**jdbc_options, "dbtable": name})
+    if partition_column is not None and bounds is not None:
+        reader = reader.options(
+            partitionColumn=partition_column, lowerBound=str(bounds[0]), upperBound=str(bounds[1]),
+            numPartitions=str(num_partitions),
+        )
+    return reader.load()
 
 
 def table_or_empty(spark: SparkSession, name: str, schema: T.StructType | str) -> DataFrame:

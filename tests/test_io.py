@@ -129,6 +129,8 @@ def test_silver_gold_serving_round_trip(spark, bronze_root, tmp_dir):
     assert health == {"fact_orders": "Yes", "dim_sellers": "No"}
     with pytest.raises(ValueError):
         serving.read_serving(spark, "not_a_gold_table")
+    with pytest.raises(ValueError):  # the allow-list is checked before any connection is made
+        serving.read_serving(spark, "pg_user", jdbc_options={"url": "jdbc:postgresql://db.invalid/x"})
     assert serving.read_serving(spark, "fact_orders").count() == 3
     empty = serving.table_or_empty(spark, "fact_reviews", "review_id string")
     assert empty.count() == 0 and empty.columns == ["review_id"]
