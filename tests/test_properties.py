@@ -11,7 +11,8 @@ from mercato.functions.money import money_avg
 from mercato.functions.text import title_case
 from mercato.plans.labels import add_product_labels
 
-SETTINGS = settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+SETTINGS = settings(max_examples=15, deadline=None, derandomize=True, database=None,
+                    suppress_health_check=[HealthCheck.function_scoped_fixture])
 cents = st.integers(min_value=-10**11, max_value=10**11)
 
 
