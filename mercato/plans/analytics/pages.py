@@ -139,6 +139,23 @@ def delivery_page(gold: Gold) -> dict[str, DataFrame]:
     return out
 
 
+def explorer_page(spark, gold: Gold, table: str, limit: int = 1000) -> dict[str, DataFrame]:
+    """One gold table for inspection: its first ``limit`` rows in key order, its row
+    count, and which expected gold tables the catalog holds."""
+    from mercato.plans.gold import GOLD_TABLES
+    from mercato.plans.quality import table_health
+    from mercato.sources.serving import browse, row_count
+
+    if table not in GOLD_TABLES or gold.get(table) is None:
+        raise ValueError(f"{table!r} is not an available gold table")
+    df = gold[table]
+    return {
+        "rows": browse(df, limit, df.columns[:1]),
+        "row_count": row_count(df),
+        "health": table_health(spark, GOLD_TABLES),
+    }
+
+
 PAGES = {
     "executive": executive_page,
     "product": product_page,

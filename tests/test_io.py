@@ -198,6 +198,13 @@ def test_cli_jobs_end_to_end(spark, bronze_root, tmp_dir, capsys):
     for page, build in PAGES.items():
         for name, df in build(gold).items():
             df.collect()  # every page query runs on the gold written by the job
+    from mercato.plans.analytics.pages import explorer_page
+
+    explorer = explorer_page(spark, gold, "dim_sellers", limit=1)
+    assert explorer["rows"].count() == 1 and explorer["row_count"].collect()[0].row_count == 2
+    assert explorer["health"].count() == 10
+    with pytest.raises(ValueError):
+        explorer_page(spark, gold, "not_a_table")
     # missing marts fall back to the item fact
     partial = {k: v for k, v in gold.items() if k not in ("sales_by_product", "sales_by_seller")}
     top = PAGES["product"](partial)["top_products_by_units"].collect()
