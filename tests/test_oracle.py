@@ -57,3 +57,19 @@ def test_entry_smoke(spark):
     df = entry(spark)
     assert df.columns[:3] == ["order_id", "customer_id", "order_status"]
     assert df.count() == 1500
+
+
+SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                   "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP", "date": "DATE"}
+
+
+def test_column_types_match_oracle(spark, con):
+    mismatches = {}
+    for name, sql in oracle_sql().items():
+        df = queries()[name](spark, SF01)
+        spark_types = {f.name: SPARK_TO_DUCKDB.get(f.dataType.simpleString(), f.dataType.simpleString())
+                       for f in df.schema.fields}
+        oracle_types = {row[0]: row[1] for row in con.execute(f"DESCRIBE {sql}").fetchall()}
+        if spark_types != oracle_types:
+            mismatches[name] = (spark_types, oracle_types)
+    assert not mismatches
