@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,11 +66,6 @@ def fill_unknown(df: DataFrame, col: str, value: str = "unknown") -> DataFrame:
     return df.withColumn(col, F.coalesce(F.col(col), F.lit(value)))
 
 
-def fill_values(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
-    """``coalesce(c, v)`` keeping each column's type."""
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType)) for c, v in values.items()})
-
-
 def low_rating(df: DataFrame, score_col: str = "review_score", max_score: int = 2) -> DataFrame:
     """Rows whose numeric score is <= ``max_score`` (NULL scores excluded)."""
     return df.filter(F.col(score_col) <= F.lit(max_score))
