@@ -47,3 +47,18 @@ def test_continuous_landing_processes_available_files_then_stops(spark, tmp_dir)
     landed = spark.read.parquet(f"{bronze_root}/payments")
     assert [r.order_id for r in landed.collect()] == ["o1"]
     assert landed.select("_load").distinct().collect()[0][0].startswith("stream-")
+
+
+def test_retried_landing_batch_replaces_its_own_output(spark, tmp_dir):
+    from mercato.sources.bronze import read_landed, write_landed
+
+    bronze_root = os.path.join(tmp_dir, "bronze_retry")
+    df = spark.createDataFrame([("o1", "x"), ("o2", "y")], "order_id string, v string")
+    write_landed(df, bronze_root, "payments", "stream-000000000007")
+    write_landed(df, bronze_root, "payments", "stream-000000000007")  # the retry of the same micro-batch
+    write_landed(df.limit(1), bronze_root, "payments", "stream-000000000008")
+    landed = spark.read.parquet(f"{bronze_root}/payments")
+    assert landed.count() == 3
+    assert sorted(r._load for r in landed.select("_load").distinct().collect()) == [
+        "stream-000000000007", "stream-000000000008"]
+    assert read_landed(spark, bronze_root, "payments").columns == ["order_id", "v"]
