@@ -10,9 +10,10 @@ are one class from the start, so copies never meet pair by pair.
 Candidates of a key are not all paired. First each class is compared with the
 smallest of its key (a star) and the links found make components; then only
 keys that still hold several components go on, and there only classes of
-different components are compared, sketch against sketch inside blocks of
-bounded size. The collision-corrected estimate from two sketches discards pairs
-far below the threshold, and what is left is verified on the full sets.
+different components are compared, inside blocks of bounded size. The
+collision-corrected estimate from two sketches discards pairs far below the
+threshold, and what is left is verified on the full sets; a block emits the
+links that join components, not its pairs.
 Components come from label propagation over the links.
 
 Null or wordless texts have empty sets and are linked with nothing. Fewer
@@ -46,8 +47,8 @@ BANDS = REGISTERS // ROWS
 MANTISSA_BITS = 26
 #: Estimates this far below the threshold are discarded (over six standard errors of 128 registers).
 ESTIMATE_SLACK = 0.25
-#: Sketches of one block when classes of different components are compared.
-BLOCK = 512
+#: Classes, and bytes of their sets, of one group when different components are compared.
+BLOCK, BLOCK_BYTES = 512, 2 << 20
 
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 EMPTY = np.uint32(0xFFFFFFFF)
@@ -236,7 +237,7 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(enough("x", "y")).select("a", "b")
 
 
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """``node, comp``: the smallest node that can be reached, for the nodes of ``links``.
 
     Each round takes the smallest label of the neighbours, then the label of
@@ -260,40 +261,59 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
             return labels
 
 
-def _cross_pairs(crowded: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of different components within a key whose sketches are near.
-
-    A key's members are dealt to groups of about ``BLOCK`` rows; two groups, or
-    one with itself, meet in one task, which emits only the pairs that pass the
-    estimate. Nothing is capped: a key with more members makes more blocks.
+def _compare(block: pd.DataFrame) -> pd.DataFrame:
+    """Links that join components of a block: one row for each join, not one for each pair."""
+    block = block.sort_values("node")
+    regs = np.frombuffer(b"".join(block["registers"]), np.uint32).reshape(-1, REGISTERS)
+    node, g, n = (block[c].to_numpy() for c in ("node", "g", "n_shingles"))
+    comp = np.unique(block["comp"].to_numpy(), return_inverse=True)[1]
+    sets = [np.frombuffer(h, np.uint64) for h in block["hashes"]]
+    inside = int(block["i"].iloc[0]) == int(block["j"].iloc[0])
+    found: list[tuple[int, int]] = []
+    for k in range(len(block) - 1):
+        rest = slice(k + 1, None)
+        ok = (comp[rest] != comp[k]) & (inside | (g[rest] != g[k]))
+        ok &= 100 * np.minimum(n[rest], n[k]) >= LEAST_PERCENT * np.maximum(n[rest], n[k])
+        at = np.flatnonzero(ok) + k + 1
+        if len(at):
+            at = at[estimate(regs[at], regs[k], n[at], n[k]) >= LEAST_PERCENT / 100 - ESTIMATE_SLACK]
+        if not len(at):
+            continue
+        others = np.concatenate([sets[x] for x in at])
+        place = np.minimum(np.searchsorted(sets[k], others), n[k] - 1)
+        both = np.add.reduceat(sets[k][place] == others, np.cumsum(n[at]) - n[at], dtype=np.int64)
+        for x in at[100 * both >= LEAST_PERCENT * (n[at] + n[k] - both)].tolist():
+            if comp[x] != comp[k]:
+                found.append((int(node[k]), int(node[x])))
+                comp[comp == comp[x]] = comp[k]
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+
+def _cross_links(docs: DataFrame, crowded: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between different components of ``crowded`` (``key, node, comp``), verified on full sets.
+
+    Classes that keys connect are a cluster. Its classes are dealt to groups of
+    bounded bytes; two groups, or one with itself, meet in one task, which
+    compares sketches, then full sets of what the sketches leave, and emits at
+    most one link for each join of components. Nothing is capped: a larger
+    cluster makes more groups.
     """
-    sizes = crowded.groupBy("key").agg(F.count("*").alias("members"))
-    groups = F.ceil(F.col("members") / BLOCK).cast("int")
-    rows = crowded.join(sizes, "key").withColumn("groups", groups)
-    rows = rows.withColumn("g", F.pmod(F.xxhash64("node"), F.col("groups")).cast("int"))
-    every = F.sequence(F.lit(0), F.col("groups") - 1)
-    rows = rows.withColumn("other", F.explode(every)).select(
-        "key", "node", "comp", "g", F.least("g", "other").alias("i"), F.greatest("g", "other").alias("j")
+    hubs = crowded.groupBy("key").agg(F.min("node").alias("hub"))
+    edges = crowded.join(hubs, "key").where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    clusters = components(edges.distinct()).withColumnRenamed("comp", "cluster")
+    nodes = crowded.select("node", "comp").distinct().join(clusters, "node")
+    rows = staged(nodes.join(classes.select("node", "n_shingles", "registers", "doc_id", "cls"), "node"), "clusters")
+    sizes = rows.groupBy("cluster").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") * 8 / BLOCK_BYTES)).cast("int").alias("groups")
     )
-    rows = rows.join(classes.select("node", "registers", "n_shingles"), "node")
-
-    def compare(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values("node")
-        regs = np.frombuffer(b"".join(block["registers"]), np.uint32).reshape(-1, REGISTERS)
-        node, comp, g, n = (block[c].to_numpy() for c in ("node", "comp", "g", "n_shingles"))
-        inside = int(block["i"].iloc[0]) == int(block["j"].iloc[0])
-        found: list[tuple[int, int]] = []
-        for k in range(len(block) - 1):
-            rest = slice(k + 1, None)
-            ok = (comp[rest] != comp[k]) & (inside | (g[rest] != g[k]))
-            ok &= 100 * np.minimum(n[rest], n[k]) >= LEAST_PERCENT * np.maximum(n[rest], n[k])
-            at = np.flatnonzero(ok) + k + 1
-            if len(at):
-                near = estimate(regs[at], regs[k], n[at], n[k]) >= LEAST_PERCENT / 100 - ESTIMATE_SLACK
-                found += [(int(node[k]), int(node[x])) for x in at[near]]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-    return rows.groupBy("key", "i", "j").applyInPandas(compare, "a bigint, b bigint").distinct()
+    sets = _sets(docs, rows.select("node", "doc_id", "cls")).dropDuplicates(["node"])
+    rows = rows.drop("doc_id", "cls").join(sets, "node").join(sizes, "cluster")
+    rows = rows.withColumn("g", F.pmod(F.xxhash64("node"), F.col("groups")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).select(
+        "cluster", "node", "comp", "n_shingles", "registers", "hashes", "g",
+        F.least("g", "other").alias("i"), F.greatest("g", "other").alias("j"),
+    )
+    return staged(rows.groupBy("cluster", "i", "j").applyInPandas(_compare, "a bigint, b bigint"), "cross")
 
 
 def resolve(docs: DataFrame) -> DataFrame:
@@ -315,14 +335,12 @@ def resolve(docs: DataFrame) -> DataFrame:
     star = staged(_estimated(star, classes), "star")
     # full sets are made once, for the classes that share a key with any other and are near in some pair
     first = _verified(docs, classes, star)
-    labels = components(classes, first)
+    labels = components(first)
     named = crowded.join(labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
     mixed = named.groupBy("key").agg((F.min("comp") != F.max("comp")).alias("mixed")).where("mixed").select("key")
     rest = staged(named.join(mixed, "key"), "mixed")
-    cross = staged(_cross_pairs(rest, classes).join(star.select("a", "b").union(star.select("b", "a")), ["a", "b"], "left_anti"), "cross")
-    if not cross.isEmpty():
-        first = staged(first.union(_verified(docs, classes, cross)), "links")
-        labels = components(classes, first)
+    if not rest.isEmpty():
+        labels = components(first.union(_cross_links(docs, rest, classes)))
     member = classes.select("cls", "node", "doc_id").join(labels, "node", "left")
     member = member.select("cls", F.col("doc_id").alias("least"), F.coalesce("comp", "node").alias("comp"))
     smallest = member.groupBy("comp").agg(F.min("least").alias("component_id"))
