@@ -34,6 +34,7 @@ def parser() -> argparse.ArgumentParser:
     land.add_argument("--bronze", required=True)
     land.add_argument("--entity", required=True)
     land.add_argument("--incremental", action="store_true", help="land only files not landed before")
+    land.add_argument("--checkpoint", help="lasting checkpoint folder of --incremental (default: below spark.checkpoint.dir)")
 
     silver = sub.add_parser("silver", help="bronze CSV -> silver parquet")
     silver.add_argument("--bronze", required=True)
@@ -79,7 +80,7 @@ def main(argv: list[str] | None = None) -> int:
         if args.incremental:
             from mercato.streaming.landing import land_available
 
-            land_available(spark, args.src, args.bronze, args.entity)
+            land_available(spark, args.src, args.bronze, args.entity, checkpoint_root=args.checkpoint)
         else:
             from mercato.sources.bronze import land_raw
 

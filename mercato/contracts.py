@@ -25,6 +25,7 @@ class Entity:
     timestamps: tuple[str, ...] = ()
     money: tuple[str, ...] = ()
     integers: tuple[str, ...] = ()
+    doubles: tuple[str, ...] = ()
     normalise: tuple[str, ...] = ()
     multiline: bool = False
     extra: dict = field(default_factory=dict)
@@ -58,6 +59,8 @@ ENTITIES: dict[str, Entity] = {
     ),
     "products": Entity(
         "products", "olist_products_dataset.csv", None, keys=("product_id",), normalise=("product_category_name",),
+        integers=("product_name_lenght", "product_description_lenght", "product_photos_qty", "product_weight_g",
+                  "product_length_cm", "product_height_cm", "product_width_cm"),
     ),
     "sellers": Entity(
         "sellers", "olist_sellers_dataset.csv",
@@ -77,7 +80,10 @@ ENTITIES: dict[str, Entity] = {
         keys=("review_id",), timestamps=("review_creation_date", "review_answer_timestamp"),
         integers=("review_score",), multiline=True,
     ),
-    "geolocation": Entity("geolocation", "olist_geolocation_dataset.csv", None),
+    "geolocation": Entity(
+        "geolocation", "olist_geolocation_dataset.csv", None, integers=("geolocation_zip_code_prefix",),
+        doubles=("geolocation_lat", "geolocation_lng"),
+    ),
     "category_translation": Entity(
         "category_translation", "product_category_name_translation.csv",
         _strings("product_category_name", "product_category_name_english"),

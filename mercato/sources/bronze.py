@@ -19,14 +19,15 @@ class MissingSourceError(FileNotFoundError):
     """A required input path does not exist."""
 
 
+def csv_options(multiline: bool = False) -> dict[str, object]:
+    """Options of every raw CSV read. ``enforceSchema`` off: each file's header must equal
+    the schema, else the read fails; columns are never taken by position alone."""
+    return {"header": True, "escape": '"', "multiLine": multiline, "enforceSchema": False}
+
+
 def csv_reader(spark: SparkSession, multiline: bool = False, infer: bool = False):
     """CSV reader with header; quoted fields may hold newlines and doubled quotes."""
-    reader = (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .option("mode", "PERMISSIVE")
-    )
+    reader = spark.read.options(**csv_options(multiline)).option("mode", "PERMISSIVE")
     return reader.option("inferSchema", True) if infer else reader
 
 
@@ -42,7 +43,7 @@ def read_bronze(spark: SparkSession, root: str, entity: str, infer: bool = False
     return csv_reader(spark, multiline=e.multiline, infer=infer).csv(entity_path(root, e))
 
 
-def _is_missing(err: AnalysisException) -> bool:
+def is_missing(err: AnalysisException) -> bool:
     cls = getattr(err, "getCondition", lambda: None)() or ""
     return "PATH_NOT_FOUND" in cls or "Path does not exist" in str(err)
 
@@ -52,7 +53,7 @@ def read_optional(spark: SparkSession, root: str, entity: str, infer: bool = Fal
     try:
         return read_bronze(spark, root, entity, infer=infer)
     except AnalysisException as err:
-        if _is_missing(err):
+        if is_missing(err):
             log.warning("%s: source not found, skipped", entity)
             return None
         raise
@@ -63,7 +64,7 @@ def read_required(spark: SparkSession, root: str, entity: str, infer: bool = Fal
     try:
         return read_bronze(spark, root, entity, infer=infer)
     except AnalysisException as err:
-        if _is_missing(err):
+        if is_missing(err):
             raise MissingSourceError(f"required input {entity!r} not found at {entity_path(root, entity)}") from err
         raise
 
@@ -90,12 +91,15 @@ def write_landed(df: DataFrame, bronze_root: str, entity: str, load_id: str) ->
 
 
 def read_landed(spark: SparkSession, bronze_root: str, entity: str) -> DataFrame | None:
-    """Landed bronze parquet for an entity without its lineage columns, or ``None``."""
+    """Landed bronze parquet for an entity without its lineage columns, or ``None``.
+
+    The schemas of all landing runs are merged, so a column that only later files have stays."""
     path = landed_path(bronze_root, entity)
     try:
-        df = spark.read.parquet(path)
+        df = spark.read.option("mergeSchema", True).parquet(path)
     except AnalysisException as err:
-        if _is_missing(err):
+        # a folder in which no landing run has finished holds no data
+        if is_missing(err) or "UNABLE_TO_INFER_SCHEMA" in str(err):
             return None
         raise
     return df.drop(*LINEAGE_COLUMNS)

@@ -122,9 +122,10 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType) -> None:
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl(schema)}) USING parquet")
 
 
-def browse(df: DataFrame, limit: int, order: Sequence[str]) -> DataFrame:
-    """The first ``limit`` rows in a fixed order (for display)."""
-    return df.orderBy(*order).limit(limit)
+def browse(df: DataFrame, limit: int | None, order: Sequence[str]) -> DataFrame:
+    """All rows in a fixed order; only the first ``limit`` if the caller asks for that."""
+    rows = df.orderBy(*order)
+    return rows if limit is None else rows.limit(limit)
 
 
 def row_count(df: DataFrame) -> DataFrame:

@@ -2,23 +2,30 @@
 
 Raw files dropped into a landing folder are added to the bronze parquet table
 exactly once: the file source remembers processed files in its checkpoint, each
-micro-batch is written to its own ``_load=stream-<batch id>`` directory (a retry
-overwrites the same directory), and ``availableNow`` processes whatever has
+micro-batch is written to its own ``_load=stream-<checkpoint id>-<batch>`` directory
+(a retry overwrites the same directory, another checkpoint never does), and ``availableNow`` processes whatever has
 arrived and stops, so the same job runs on a schedule or continuously. Batch
 landings (``land_raw``) write ``_load=batch-...`` directories in the same folder.
-Checkpoints live under the session's shared ``spark.checkpoint.dir``.
+
+The checkpoint is named by the caller, or lies below ``spark.checkpoint.dir`` itself
+(not the folder that Spark makes anew below it for every application), one for each
+landing folder, bronze root and entity. A file whose header differs from the schema
+fails its batch, so columns never land under another name.
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from mercato.contracts import ENTITIES
-from mercato.session import ensure_checkpoint_dir
-from mercato.sources.bronze import write_landed
+from mercato.sources.bronze import csv_options, is_missing, write_landed
 
 
 def text_schema(spark: SparkSession, landing_dir: str, entity: str) -> T.StructType:
@@ -26,10 +33,33 @@ def text_schema(spark: SparkSession, landing_dir: str, entity: str) -> T.StructT
     e = ENTITIES.get(entity)
     if e is not None and e.schema is not None:
         return e.schema
-    header = spark.read.option("header", True).csv(landing_dir).columns
+    header = spark.read.options(**csv_options()).csv(landing_dir).columns
     return T.StructType([T.StructField(c, T.StringType(), True) for c in header])
 
 
+def checkpoint_path(spark: SparkSession, root: str | None, landing_dir: str, bronze_root: str, entity: str) -> str:
+    """The checkpoint of one landing folder, bronze root and entity, the same in every application."""
+    if not root:
+        shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        if not shared:
+            raise ValueError("incremental landing needs a lasting checkpoint folder: name one, or set spark.checkpoint.dir")
+        root = f"{shared.rstrip('/')}/landing"
+    source = "\n".join([landing_dir.rstrip("/"), bronze_root.rstrip("/"), entity])
+    return f"{root.rstrip('/')}/{entity}-{hashlib.sha256(source.encode()).hexdigest()[:16]}"
+
+
+def checkpoint_id(spark: SparkSession, path: str) -> str:
+    """The id kept in a checkpoint: made once, so a checkpoint that is deleted and made anew has another."""
+    try:
+        return spark.read.schema("id string").parquet(f"{path}/id").first()[0]
+    except AnalysisException as err:
+        if not is_missing(err):
+            raise
+    new = uuid.uuid4().hex[:12]
+    spark.createDataFrame([(new,)], "id string").coalesce(1).write.parquet(f"{path}/id")
+    return new
+
+
 def start_landing(
     spark: SparkSession,
     landing_dir: str,
@@ -42,11 +72,8 @@ def start_landing(
 ) -> StreamingQuery:
     """Start the landing stream for one entity and return the running query."""
     e = ENTITIES.get(entity)
-    reader = (
-        spark.readStream.schema(text_schema(spark, landing_dir, entity))
-        .option("header", True)
-        .option("escape", '"')
-        .option("multiLine", bool(e and e.multiline))
+    reader = spark.readStream.schema(text_schema(spark, landing_dir, entity)).options(
+        **csv_options(bool(e and e.multiline))
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -54,11 +81,12 @@ def start_landing(
     landed = raw.select(
         "*", F.col("_metadata.file_path").alias("_source_file"), F.current_timestamp().alias("_loaded_at")
     )
-    ckpt = f"{(checkpoint_root or ensure_checkpoint_dir(spark)).rstrip('/')}/landing/{entity}"
+    ckpt = checkpoint_path(spark, checkpoint_root, landing_dir, bronze_root, entity)
+    name = checkpoint_id(spark, ckpt)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # a retried micro-batch covers the same files and overwrites its own directory
-        write_landed(batch, bronze_root, entity, f"stream-{batch_id:012d}")
+        write_landed(batch, bronze_root, entity, f"stream-{name}-{batch_id:012d}")
 
     writer = (
         landed.writeStream.foreachBatch(write_batch)

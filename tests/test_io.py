@@ -303,7 +303,8 @@ def test_cli_land_and_init_serving(spark, bronze_root, tmp_dir):
     os.makedirs(incoming)
     with open(os.path.join(incoming, "a.csv"), "w") as fh:
         fh.write("order_id,payment_sequential,payment_type,payment_installments,payment_value\no9,1,voucher,1,1.00\n")
-    assert main(["land", "--src", incoming, "--bronze", landed, "--entity", "payments", "--incremental"]) == 0
+    assert main(["land", "--src", incoming, "--bronze", landed, "--entity", "payments", "--incremental",
+                 "--checkpoint", os.path.join(tmp_dir, "cli_ckpt")]) == 0
     assert spark.read.parquet(os.path.join(landed, "payments")).count() == 3
     assert main(["init-serving"]) == 0
     assert {"fact_orders", "dim_customers"} <= set(serving.list_tables(spark)) or spark.catalog.tableExists("fact_orders")
