@@ -11,7 +11,6 @@ from mercato.operators.clean import (  # noqa: F401
     project,
 )
 from mercato.operators.shape import (  # noqa: F401
-    broadcast_if_small,
     fill_month_gaps,
     month_end_ts,
     month_start,

@@ -1,4 +1,4 @@
-"""Ordering, top-k, month spines and size-checked broadcast."""
+"""Ordering, top-k and month spines."""
 
 from __future__ import annotations
 
@@ -7,9 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: lookup tables up to this many rows may be broadcast after a check.
-BROADCAST_MAX_ROWS = 100_000
-
 
 def ranked(df: DataFrame, metric: str, key: str | Sequence[str], ascending: bool = False) -> list[Column]:
     """Sort keys: metric (desc, NULLs last) then the key(s) ascending as the tie-break."""
@@ -23,16 +20,6 @@ def top_n(df: DataFrame, metric: str, key: str | Sequence[str], n: int, ascendin
     return df.orderBy(*ranked(df, metric, key, ascending)).limit(n)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only after checking the row count is within ``max_rows``.
-
-    The check reads at most ``max_rows + 1`` rows. Above the bound the frame is
-    returned unhinted and Spark / AQE pick a shuffle join from measured sizes.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def month_start(c: str | Column) -> Column:
     """First day of the month as a DATE."""
     x = F.col(c) if isinstance(c, str) else c

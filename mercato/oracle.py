@@ -567,3 +567,11 @@ WHERE c.customer_state IS NOT NULL GROUP BY 1""")
 ORACLE["silver_translation"] = q("""
 SELECT DISTINCT lower(trim(p_type)) AS product_category_name, lower(p_type) || '_en' AS product_category_name_english
 FROM part""")
+ORACLE["freight_value_correlation"] = q("""
+SELECT orders, CASE WHEN vx > 0 AND vy > 0 THEN round(CAST(cxy AS DOUBLE) / (sqrt(CAST(vx AS DOUBLE)) * sqrt(CAST(vy AS DOUBLE))), 9) END AS correlation
+FROM (SELECT count(*) AS orders,
+        CAST(count(*) AS HUGEINT) * sum(x * y) - sum(x) * sum(y) AS cxy,
+        CAST(count(*) AS HUGEINT) * sum(x * x) - sum(x) * sum(x) AS vx,
+        CAST(count(*) AS HUGEINT) * sum(y * y) - sum(y) * sum(y) AS vy
+      FROM (SELECT CAST(total_order_value * 100 AS HUGEINT) AS x, CAST(total_freight * 100 AS HUGEINT) AS y
+            FROM fact_orders WHERE total_order_value IS NOT NULL AND total_freight IS NOT NULL))""")

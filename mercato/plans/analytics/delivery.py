@@ -149,9 +149,25 @@ def executive_summary(
 
 
 def freight_value_correlation(fact_orders: DataFrame) -> DataFrame:
-    """Pearson correlation of freight with order value over orders having both."""
+    """Pearson correlation of freight with order value over orders having both.
+
+    All sums are exact (whole cents), so the result does not depend on the order of rows.
+    """
     pairs = fact_orders.filter(F.col("total_order_value").isNotNull() & F.col("total_freight").isNotNull())
-    return pairs.agg(
+    x, y = ((F.col(c) * 100).cast("decimal(19,0)") for c in ("total_order_value", "total_freight"))
+    whole = "decimal(38,0)"
+    sums = pairs.select(x.alias("x"), y.alias("y")).agg(
         F.count(F.lit(1)).alias("orders"),
-        F.corr(F.col("total_order_value").cast("double"), F.col("total_freight").cast("double")).alias("correlation"),
+        *(F.sum(v).cast(whole).alias(n) for n, v in (
+            ("sx", F.col("x")), ("sy", F.col("y")), ("sxx", F.col("x") * F.col("x")),
+            ("syy", F.col("y") * F.col("y")), ("sxy", F.col("x") * F.col("y")),
+        )),
     )
+    n = F.col("orders").cast("decimal(19,0)")
+
+    def spread(both: str, a: str, b: str):
+        return ((n * F.col(both)).cast(whole) - (F.col(a) * F.col(b)).cast(whole)).cast("double")
+
+    vx, vy = spread("sxx", "sx", "sx"), spread("syy", "sy", "sy")
+    r = F.when((vx > 0) & (vy > 0), spread("sxy", "sx", "sy") / (F.sqrt(vx) * F.sqrt(vy)))
+    return sums.select("orders", F.round(r, 9).alias("correlation"))

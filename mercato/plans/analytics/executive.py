@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -96,7 +98,7 @@ def monthly_revenue(fact_orders: DataFrame) -> DataFrame:
         .agg(money_sum_or_zero("_v").alias("revenue"))
     )
     filled = fill_month_gaps(monthly, "_month", {"revenue": 0})
-    return filled.select(month_end_ts("_month").alias("month"), "revenue")
+    return filled.select(month_end_ts("_month").alias("month"), "revenue").orderBy("month")
 
 
 def order_status_mix(fact_orders: DataFrame, ascending: bool = False) -> DataFrame:
@@ -143,12 +145,15 @@ def top_customer_city(dim_customers: DataFrame) -> DataFrame:
     return top_n(counts, "customers", "customer_city", 1)
 
 
-def business_insights(top_label: DataFrame, top_city: DataFrame) -> DataFrame:
-    """Zero to two sentences: the top product label, then the top customer city."""
-    product = top_label.select(
-        F.concat(F.lit(PRODUCT_INSIGHT[0]), F.col("product_label"), F.lit(PRODUCT_INSIGHT[1])).alias("insight")
-    )
-    city = top_city.select(
-        F.concat(F.lit(CITY_INSIGHT[0]), F.col("customer_city"), F.lit(CITY_INSIGHT[1])).alias("insight")
-    )
-    return product.unionByName(city)
+def business_insights(top_label: DataFrame | None, top_city: DataFrame | None) -> DataFrame:
+    """Zero to two sentences: the top product label, then the top customer city; ``None`` leaves one out."""
+    parts = []
+    if top_label is not None:
+        parts.append(top_label.select(
+            F.concat(F.lit(PRODUCT_INSIGHT[0]), F.col("product_label"), F.lit(PRODUCT_INSIGHT[1])).alias("insight")
+        ))
+    if top_city is not None:
+        parts.append(top_city.select(
+            F.concat(F.lit(CITY_INSIGHT[0]), F.col("customer_city"), F.lit(CITY_INSIGHT[1])).alias("insight")
+        ))
+    return reduce(DataFrame.unionByName, parts)

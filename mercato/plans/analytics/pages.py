@@ -12,44 +12,70 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
+from mercato.functions.columns import resolve_column
 from mercato.plans.analytics import customer, delivery, executive, payment, product, review, seller
 
 Gold = Mapping[str, DataFrame]
 
 
+# The columns that the executive cards read from tables that may be absent.
+EMPTY = {
+    "fact_orders": "order_id string, customer_id string, order_status string, order_purchase_timestamp timestamp, "
+    "total_order_value decimal(18,2), total_freight decimal(18,2), item_count bigint",
+    "fact_order_items": "order_id string, order_item_id int, product_id string, price decimal(18,2)",
+    "dim_customers": "customer_id string, customer_city string, customer_state string",
+}
+
+
 def _has(gold: Gold, *names: str) -> bool:
     return all(gold.get(n) is not None for n in names)
 
 
+def _filled(gold: Gold, name: str) -> DataFrame | None:
+    """The table, or ``None`` if it is absent or has no row (reads one row at most)."""
+    df = gold.get(name)
+    return None if df is None or df.isEmpty() else df
+
+
+def _or_empty(gold: Gold, name: str) -> DataFrame:
+    df = gold.get(name)
+    if df is not None:
+        return df
+    return next(x for x in gold.values() if x is not None).sparkSession.createDataFrame([], EMPTY[name])
+
+
 def executive_page(gold: Gold) -> dict[str, DataFrame]:
     out: dict[str, DataFrame] = {}
-    if _has(gold, "fact_orders", "fact_order_items", "dim_customers"):
-        kpis = executive.executive_kpis(gold["fact_orders"], gold["fact_order_items"], gold["dim_customers"])
+    if any(_has(gold, name) for name in EMPTY):
+        # a card whose table is missing shows 0
+        kpis = executive.executive_kpis(*(_or_empty(gold, name) for name in EMPTY))
         out["kpis"] = kpis
         out["kpi_cards"] = executive.executive_kpi_cards(kpis)
         out["item_order_consistency"] = executive.item_order_consistency(kpis)
     if _has(gold, "fact_orders"):
         out["monthly_revenue"] = executive.monthly_revenue(gold["fact_orders"])
         out["order_status"] = executive.order_status_mix(gold["fact_orders"])
-    insights = []
+    label = city = None
     if _has(gold, "fact_order_items", "dim_products"):
-        insights.append(executive.top_revenue_label(gold["fact_order_items"], gold["dim_products"]))
-    if _has(gold, "dim_customers", "fact_orders"):
-        insights.append(executive.top_customer_city(gold["dim_customers"]))
-    if len(insights) == 2:
-        out["business_insights"] = executive.business_insights(*insights)
+        label = executive.top_revenue_label(gold["fact_order_items"], gold["dim_products"])
+    if _has(gold, "dim_customers"):
+        city = executive.top_customer_city(gold["dim_customers"])
+    if label is not None or city is not None:
+        out["business_insights"] = executive.business_insights(label, city)
     return out
 
 
 def product_page(gold: Gold) -> dict[str, DataFrame]:
-    if not _has(gold, "fact_order_items") and not _has(gold, "sales_by_product"):
+    mart = _filled(gold, "sales_by_product")
+    if not _has(gold, "fact_order_items") and mart is None:
         return {}
-    sales = product.product_sales(gold.get("sales_by_product"), gold.get("fact_order_items"))
+    sales = product.product_sales(mart, gold.get("fact_order_items"))
     products = gold.get("dim_products")
-    out = {
-        "top_products_by_units": product.top_products_by_units(sales, products),
-        "top_products_by_revenue": product.top_products_by_revenue(sales, products),
-    }
+    out = {}
+    if resolve_column(sales, product.UNITS_CANDIDATES, strict=True):
+        out["top_products_by_units"] = product.top_products_by_units(sales, products)
+    if resolve_column(sales, product.REVENUE_CANDIDATES, strict=True):
+        out["top_products_by_revenue"] = product.top_products_by_revenue(sales, products)
     if products is not None:
         out["category_performance"] = product.category_performance(sales, products)
         out["low_sales_products"] = product.low_sales_products(products, sales)
@@ -79,15 +105,20 @@ def customer_page(gold: Gold) -> dict[str, DataFrame]:
 
 
 def seller_page(gold: Gold) -> dict[str, DataFrame]:
-    if not _has(gold, "fact_order_items") and not _has(gold, "sales_by_seller"):
+    mart = _filled(gold, "sales_by_seller")
+    if not _has(gold, "fact_order_items") and mart is None:
         return {}
-    sales = seller.seller_sales(gold.get("sales_by_seller"), gold.get("fact_order_items"))
+    sales = seller.seller_sales(mart, gold.get("fact_order_items"))
     sellers = gold.get("dim_sellers")
-    out = {
-        "top_sellers_by_revenue": seller.top_sellers_by_revenue(sales, sellers),
-        "top_sellers_by_items": seller.top_sellers_by_items(sales, sellers),
-        "seller_performance": seller.seller_performance(sales, sellers),
-    }
+    revenue = resolve_column(sales, seller.REVENUE_CANDIDATES, strict=True)
+    units = resolve_column(sales, seller.UNITS_CANDIDATES, strict=True)
+    out = {}
+    if revenue:
+        out["top_sellers_by_revenue"] = seller.top_sellers_by_revenue(sales, sellers)
+    if units:
+        out["top_sellers_by_items"] = seller.top_sellers_by_items(sales, sellers)
+    if revenue or units:
+        out["seller_performance"] = seller.seller_performance(sales, sellers)
     if _has(gold, "fact_order_items"):
         out["seller_order_volume"] = seller.seller_order_volume(gold["fact_order_items"])
     return out
@@ -139,9 +170,9 @@ def delivery_page(gold: Gold) -> dict[str, DataFrame]:
     return out
 
 
-def explorer_page(spark, gold: Gold, table: str, limit: int = 1000) -> dict[str, DataFrame]:
-    """One gold table for inspection: its first ``limit`` rows in a fixed order, its row
-    count, and which expected gold tables the catalog holds."""
+def explorer_page(spark, gold: Gold, table: str, limit: int | None = None) -> dict[str, DataFrame]:
+    """One gold table for inspection: its rows in a fixed order (``limit`` of them if given), its
+    row count, and which expected gold tables the catalog holds."""
     from mercato.plans.gold import GOLD_TABLES
     from mercato.plans.quality import table_health
     from mercato.sources.serving import browse, row_count

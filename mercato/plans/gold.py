@@ -10,9 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.functions.money import avg_cents_half_up, money_avg, money_sum
+from mercato.functions.money import avg_cents_half_up, money_sum
 from mercato.operators.clean import dedupe_by_key, project
-from mercato.operators.shape import broadcast_if_small
 
 # Gold column lists.
 DIM_CUSTOMERS_COLUMNS = (
@@ -54,16 +53,9 @@ def fact_orders(orders: DataFrame, order_items: DataFrame, how: str = "left") ->
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', got {how!r}")
     metrics = order_metrics(order_items)
-    keyed = orders.filter(F.col("order_id").isNotNull())
-    joined = keyed.join(metrics, on="order_id", how=how)
-    if how == "left":
-        # Orders without an id can never match: they bypass the join (instead of all
-        # hashing to one reducer) and get NULL metrics. The IS NULL scan skips row
-        # groups whose null count is 0.
-        unkeyed = orders.filter(F.col("order_id").isNull()).withColumns(
-            {c: F.lit(None).cast(metrics.schema[c].dataType) for c in ORDER_METRICS}
-        )
-        joined = joined.unionByName(unkeyed)
+    # one scan of orders; orders without an id keep NULL metrics, and AQE splits their
+    # partition if it is large (the left side of a left join may be split)
+    joined = orders.join(metrics, on="order_id", how=how)
     delivery = tuple(c for c in FACT_ORDERS_DELIVERY if c in joined.columns) if how == "left" else ()
     return project(joined, FACT_ORDERS_BASE + delivery + ORDER_METRICS)
 
@@ -93,16 +85,21 @@ def dim_products(products: DataFrame, translation: DataFrame | None) -> DataFram
     """Products with the English category; one row per product (smallest row wins)."""
     dim = products
     if translation is not None and "product_category_name" in dim.columns:
-        dim = dim.join(broadcast_if_small(translation), on="product_category_name", how="left")
+        dim = dim.join(translation, on="product_category_name", how="left")
     return dedupe_by_key(dim, ["product_id"])
 
 
 def sales_by_product(order_items: DataFrame) -> DataFrame:
-    return order_items.groupBy("product_id").agg(
-        F.count("order_item_id").alias("units_sold"),
-        money_sum("price").alias("product_revenue"),
-        money_avg("price").alias("average_price"),
-        money_sum("freight_value").alias("total_freight"),
+    return _product_of(product_totals(order_items))
+
+
+def _product_of(totals: DataFrame) -> DataFrame:
+    return totals.select(
+        "product_id",
+        F.col("_units").alias("units_sold"),
+        F.round("_revenue", 2).alias("product_revenue"),
+        avg_cents_half_up(F.col("_revenue") * 100, F.col("_priced")).alias("average_price"),
+        F.round("_freight", 2).alias("total_freight"),
     )
 
 
@@ -122,7 +119,7 @@ def category_products(products: DataFrame, translation: DataFrame | None) -> Dat
     cp = products.select("product_id", "product_category_name")
     if translation is not None and "product_category_name_english" in translation.columns:
         t = translation.select("product_category_name", "product_category_name_english")
-        cp = cp.join(broadcast_if_small(t), on="product_category_name", how="left")
+        cp = cp.join(t, on="product_category_name", how="left")
     return cp
 
 
@@ -133,11 +130,21 @@ def sales_by_category(order_items: DataFrame, products: DataFrame, translation:
     final shuffle run at product grain instead of item grain; the result equals
     joining every item (counts and cent sums add up exactly).
     """
-    per_product = order_items.groupBy("product_id").agg(
+    return _category_of(product_totals(order_items), products, translation)
+
+
+def product_totals(order_items: DataFrame) -> DataFrame:
+    """Per product: what both the product and the category mart need from the items."""
+    freight = [F.sum("freight_value").alias("_freight")] if "freight_value" in order_items.columns else []
+    return order_items.groupBy("product_id").agg(
         F.count("order_item_id").alias("_units"),
         F.sum("price").alias("_revenue"),
         F.count("price").alias("_priced"),
+        *freight,
     )
+
+
+def _category_of(per_product: DataFrame, products: DataFrame, translation: DataFrame | None) -> DataFrame:
     cp = category_products(products, translation)
     keys = ["product_category_name"] + (
         ["product_category_name_english"] if "product_category_name_english" in cp.columns else []

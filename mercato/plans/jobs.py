@@ -61,11 +61,24 @@ def build_gold(
     catalog tables (``table_prefix + name``) with ``buckets`` buckets, e.g.
     the three facts on ``order_id`` so order-level joins need no shuffle.
     """
-    frames = gold.build_gold_tables(dict(silver) if silver is not None else read_silver(spark, silver_root), how=how)
+    sources = dict(silver) if silver is not None else read_silver(spark, silver_root)
+    frames = gold.build_gold_tables(sources, how=how)
     wanted = list(tables or gold.GOLD_TABLES)
     bucket_by = dict(bucket_by or {})
     if bucket_by and buckets <= 0:
         raise ValueError("buckets must be positive when bucket_by is given")
+    written = {}
+    if "fact_order_items" in wanted and len(wanted) > 1:
+        # the raw items are scanned once; all other tables read the written fact's columns
+        name = "fact_order_items"
+        wanted.remove(name)
+        if name in bucket_by:
+            written[name] = write_bucketed(frames[name], gold_root, name, table_prefix + name, bucket_by[name], buckets)
+            items = spark.table(table_prefix + name)
+        else:
+            written[name] = write_layer(frames[name], gold_root, name)
+            items = read_layer(spark, gold_root, name)
+        frames = gold.build_gold_tables({**sources, "order_items": items}, how=how)
     writes = {}
     for name in wanted:
         if name in bucket_by:
@@ -73,20 +86,22 @@ def build_gold(
                 frames[n], gold_root, n, table_prefix + n, bucket_by[n], buckets))
         else:
             writes[name] = lambda n=name: write_layer(frames[n], gold_root, n)
-    return run_writes(writes, parallel)
+    return written | run_writes(writes, parallel)
 
 
 def read_gold(
     spark: SparkSession, gold_root: str, tables: Iterable[str] | None = None, table_prefix: str | None = None
 ) -> dict[str, DataFrame]:
-    """Gold tables by path; with ``table_prefix``, catalog tables (keeping bucketing)
-    are used where they exist."""
+    """Gold tables by path, without those that are not there; with ``table_prefix``, catalog
+    tables (keeping bucketing) are used where they exist."""
     out = {}
     for name in tables or gold.GOLD_TABLES:
         if table_prefix is not None and spark.catalog.tableExists(table_prefix + name):
             out[name] = spark.table(table_prefix + name)
         else:
-            out[name] = read_layer(spark, gold_root, name)
+            df = read_layer_optional(spark, gold_root, name)
+            if df is not None:
+                out[name] = df
     return out
 
 

@@ -31,6 +31,9 @@ def type_entity(df: DataFrame, entity: Entity) -> DataFrame:
     for c in entity.integers:
         if c in df.columns:
             casts[c] = F.col(c).try_cast("int")
+    for c in entity.doubles:
+        if c in df.columns:
+            casts[c] = F.col(c).try_cast("double")
     if casts:
         df = df.withColumns(casts)
     return normalise_columns(df, entity.normalise)

@@ -24,6 +24,7 @@ from mercato.operators.clean import (
     parse_timestamps,
     ORDER_TIMESTAMP_COLUMNS,
 )
+from mercato.operators.shape import ranked
 from mercato.plans import gold, quality
 from mercato.plans.analytics import customer, delivery, executive, payment, product, review, seller
 from mercato.plans.labels import add_product_labels, add_seller_labels
@@ -128,9 +129,10 @@ _QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     "dim_customers": lambda m: m.dim_customers,
     "dim_products": lambda m: m.dim_products,
     "dim_sellers": lambda m: m.dim_sellers,
-    "sales_by_product": lambda m: m.sales_by_product,
-    "sales_by_seller": lambda m: m.sales_by_seller,
-    "sales_by_category": lambda m: m.sales_by_category,
+    "sales_by_product": lambda m: m.sales_by_product.orderBy(*ranked(m.sales_by_product, "units_sold", "product_id")),
+    "sales_by_seller": lambda m: m.sales_by_seller.orderBy(*ranked(m.sales_by_seller, "seller_revenue", "seller_id")),
+    "sales_by_category": lambda m: m.sales_by_category.orderBy(
+        *ranked(m.sales_by_category, "category_revenue", "product_category_name")),
     # labels
     "product_labels": lambda m: add_product_labels(m.sales_by_product, m.dim_products),
     "seller_labels": lambda m: add_seller_labels(m.sales_by_seller, m.dim_sellers),
