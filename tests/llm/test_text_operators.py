@@ -1,0 +1,205 @@
+"""Tokens, quality rules, secrets, decontamination: brute force, libraries and odd rows."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers as P
+import pytest
+import tiktoken
+from tokenizers import Tokenizer
+
+from mercato.llm import bpe, decontaminate, quality, queries, rans, secrets
+from mercato.llm.common import table
+from tests.llm.conftest import SF001
+
+RANKS = P.path("byte_bpe_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def tik():
+    ranks = bpe.read_ranks(open(RANKS, "rb").read())
+    return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return table(spark, SF001, "documents")
+
+
+def sha(data):
+    return hashlib.sha256(data if isinstance(data, bytes) else data.encode()).hexdigest()
+
+
+def test_op1_equals_the_library(spark, docs, tik):
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    got = queries.op1_bpe(spark, SF001).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        ids = tik.encode_ordinary(texts[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), sha(" ".join(map(str, ids))))
+        assert r.decoded_sha256 == sha(texts[r.doc_id])
+
+
+def test_pieces_of_random_texts(tik):
+    find = bpe.merger(bpe.read_ranks(open(RANKS, "rb").read()))
+    ids_of, pre, rnd = bpe.PieceIds(find), bpe.PreTokenizer(bpe.class_table()), random.Random(1)
+    for _ in range(300):
+        texts = ["".join(rnd.choice("aabst rel'vm'd  \n\t 12é.! ") for _ in range(rnd.choice([0, 1, 3, 40, 200])))
+                 for _ in range(3)]
+        ids, upto, starts, heads = bpe.encode_texts(texts, pre, ids_of)
+        for i, t in enumerate(texts):
+            assert ids[upto[i] : upto[i + 1]].tolist() == tik.encode_ordinary(t)
+
+
+@pytest.mark.parametrize("text", ["a" * 3000, "ab" * 2000, " " * 900, "!?" * 700])
+def test_long_pieces(tik, text):
+    pre = bpe.PreTokenizer(bpe.class_table())
+    ids_of = bpe.PieceIds(bpe.merger(bpe.read_ranks(open(RANKS, "rb").read())))
+    assert bpe.encode_texts([text], pre, ids_of)[0].tolist() == tik.encode_ordinary(text)
+
+
+def test_bpe_odd_rows(odd, empty, tik):
+    rows = bpe.decode(bpe.encode(odd, RANKS), RANKS).collect()
+    texts = sorted((r.text or "").encode() for r in odd.collect())
+    assert sorted(bytes(r.decoded) for r in rows) == texts
+    assert bpe.decode(bpe.encode(empty, RANKS), RANKS).count() == 0
+
+
+def test_op3_equals_the_library(spark, docs):
+    tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    tok.encode_special_tokens = True
+    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in queries.op3_rans(spark, SF001).collect()}
+    at = 0
+    for r in sorted(docs.collect()):
+        ids = tok.encode(r.text or "", add_special_tokens=False).ids + [2]
+        assert got[r.doc_id] == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        at += len(ids)
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 100, 5000, 300_000])
+def test_rans_round_trip_and_parts(n):
+    x = np.random.default_rng(n).geometric(0.01, n) * 7
+    coder = rans.Coder(*rans.frequencies(*np.unique(x, return_counts=True)))
+    lanes, states, places, payload = coder.encode(x)
+    assert (coder.decode(n, lanes, states, places, payload) == x).all()
+    parts = [coder.decode(n, lanes, states, places, payload, part=k) for k in range(len(places))]
+    assert (np.concatenate([*parts, x[:0]]) == x).all()
+
+
+def test_rans_odd_rows(odd, empty):
+    got = rans.report(odd, P.path("byte_bpe_50k.json")).collect()
+    assert len(got) == odd.count()
+    assert sorted(r.start for r in got)[0] == 0 and min(r.n_tokens for r in got) == 1
+    assert rans.report(empty, P.path("byte_bpe_50k.json")).count() == 0
+
+
+def brute_hits(words, windows):
+    hit, items = set(), set()
+    for item, ws in windows.items():
+        for w in ws:
+            for i in range(len(words) - len(w) + 1):
+                if words[i : i + len(w)] == w:
+                    hit.update(range(i, i + len(w)))
+                    items.add(item)
+    return hit, items
+
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def lower_words(text):
+    return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def test_op2_equals_brute_force(spark, docs):
+    windows = {str(r.item_id): decontaminate.windows_of(lower_words(r.text)) for r in table(spark, SF001, "benchmark").collect()}
+    got = {r.doc_id: r for r in queries.op2_decontaminate(spark, SF001).collect()}
+    for r in docs.collect():
+        words = lower_words(r.text)
+        hit, items = brute_hits(words, windows)
+        g = got[r.doc_id]
+        assert (g.n_words, g.n_hit, g.n_items, g.contaminated) == (len(words), len(hit), len(items), bool(hit))
+        assert g.items_sha256 == sha(",".join(sorted(items)))
+
+
+def test_decontamination_odd_rows_and_passes(spark, odd, empty, monkeypatch):
+    bench = spark.createDataFrame([(1, "one two three"), (2, "word " * 12), (3, None), (None, "x"), (4, "no  ID,here at ALL")],
+                                  "item_id long, text string")
+    whole = sorted(map(tuple, decontaminate.decontaminate(odd, bench).collect()), key=str)
+    assert sum(r[5] for r in whole) == 4
+    monkeypatch.setattr(decontaminate, "QUERY_BYTES", 30)
+    assert sorted(map(tuple, decontaminate.decontaminate(odd, bench).collect()), key=str) == whole
+    assert decontaminate.decontaminate(empty, bench).count() == 0
+    assert decontaminate.decontaminate(odd, bench.limit(0)).where("contaminated").count() == 0
+    assert decontaminate.filtered(odd, bench).columns == odd.columns
+    assert decontaminate.filtered(odd, bench).count() == odd.count() - 4
+
+
+def test_proximity(spark):
+    docs = spark.createDataFrame([(1, "a b x c d"), (2, "a b c d"), (3, "d c b a")], "doc_id long, text string")
+    bench = spark.createDataFrame([(9, "a b c d")], "item_id long, text string")
+    index = decontaminate.build_index(docs)
+    found = {r.doc_id: r["items"] for r in decontaminate.search(index, bench, slop=1).collect()}
+    assert found == {1: ["9"], 2: ["9"], 3: []}
+
+
+def brute_repeat(words, size=5):
+    windows = [tuple(words[i : i + size]) for i in range(len(words) - size + 1)]
+    covered = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(size)}
+    return len(covered)
+
+
+def test_quality_counts(odd):
+    rnd = random.Random(2)
+    for _ in range(200):
+        text = "".join(rnd.choice("ab ab \n#|é\t") for _ in range(rnd.randint(0, 120)))
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        want = (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), brute_repeat(words))
+        assert quality.base_counts(text) == want
+    assert quality.base_counts(None) == (0, 0, 0, 0, 0)
+
+
+def test_kneser_ney_adds_up_to_one():
+    grams = np.concatenate([quality.trigrams(t) for t in (b"the cat sat", b"the hat", b"a cat in the hat sat on a mat")])
+    model = quality.fit(*np.unique(grams, return_counts=True))
+    for context in (0x7468, 0x6361, 0x7A7A, 0x6120):  # seen and unseen
+        every = (context << 8) | np.arange(256)
+        assert 2.0 ** quality.log_probability(model, every).astype(float) @ np.ones(256) == pytest.approx(1, abs=1e-4)
+
+
+def test_quality_keeps_clean_and_handles_odd_rows(spark, odd, empty):
+    rows = queries.op5_quality(spark, "/root/testdata/sf0.01").join(table(spark, "/root/testdata/sf0.01", "labels"), "doc_id")
+    clean = rows.where("quality = 1 and not base_failed")
+    assert clean.where("not kept").count() <= 0.02 * clean.count()
+    got = quality.report(odd).collect()
+    assert len(got) == odd.count() and not any(r.kept for r in got if r.n_words < 10)
+    assert quality.report(empty).count() == 0
+    assert quality.filtered(odd).columns == odd.columns
+
+
+def test_secret_spans():
+    key, hexes = "AKIA" + "A1B2C3D4E5F6G7H8", "0123456789abcdef01234567"
+    text = f'password = "hunter22" é {key} {hexes} token: short passwd=ab secret=tok=abcdefgh'
+    spans = [(secrets.KINDS[k], text[a:b]) for a, k, b in secrets.spans_of(text)]
+    assert spans == [("assign", 'password = "hunter22'), ("access", key), ("hex", hexes), ("assign", "secret=tok=abcdefgh")]
+    assert secrets.spans_of("zK9fQ2mX7vB4nT8wL1cR5pY3") == [(0, 3, 24)]
+    assert secrets.spans_of("ththerethbleonthethoninth " * 3 + "your_api_key_example_1a2b3c4d") == []
+
+
+def test_incremental_entropy():
+    rnd = random.Random(3)
+    for _ in range(50):
+        s = "".join(rnd.choice("abcdef0123") for _ in range(rnd.randint(20, 60)))
+        best = max(-sum(w.count(c) / 20 * np.log2(w.count(c) / 20) for c in set(w)) for w in (s[i : i + 20] for i in range(len(s) - 19)))
+        assert secrets.window_entropy(s) == pytest.approx(best)
+
+
+def test_secrets_odd_rows(spark, odd, empty):
+    assert secrets.report(odd).count() == odd.count() and secrets.report(empty).count() == 0
+    docs = spark.createDataFrame([(1, "a token=abcdef012 b"), (2, None)], "doc_id long, text string")
+    assert [r.text for r in secrets.redact(docs).orderBy("doc_id").collect()] == ["a [secret] b", None]
+    assert secrets.redact(odd).columns == odd.columns
