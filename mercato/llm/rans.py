@@ -18,6 +18,7 @@ first; rows that repeat an id follow each other in an order fixed by their text.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +34,7 @@ from .common import bounded_batches, shared_folder, slices, staged, texts_of
 SCALE_BITS = 20
 #: States are kept in [2 ** 31, 2 ** 63) and give off 32 bits at a time.
 LOW = np.uint64(1 << 31)
-LANES = 512
+LANES = 1024
 #: Ids of a block, about: it ends with the document that reaches this.
 BLOCK_IDS = 1 << 17
 #: Steps (ids of one lane) between checkpoints.
@@ -165,14 +166,14 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
 
         def find(pieces: list[bytes]) -> list[bytes]:
             return [
-                np.array([t.id for t in model.tokenize(p.decode("latin-1").translate(letters))], "<u4").tobytes()
+                array("I", [t.id for t in model.tokenize(p.decode("latin-1").translate(letters))]).tobytes()
                 for p in pieces
             ]
 
         ids_of, pre = PieceIds(find), PreTokenizer(np.frombuffer(classes, np.uint8))
         counts = np.zeros(1, np.int64)
         empty = None
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text", 4 << 20):
             ids, upto, _, _ = encode_texts(texts_of(batch), pre, ids_of)
             found = np.bincount(np.append(ids, end_id))
             found[end_id] += len(batch) - 1
