@@ -78,5 +78,22 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [t or "" for t in batch.column(column).to_pylist()]
 
 
+def free_names(columns: list[str], *wanted: str) -> list[str]:
+    """``wanted``, each with underscores added until no column has its name in any case."""
+    used = {c.lower() for c in columns}
+    out = []
+    for name in wanted:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
+def quoted(column: str) -> str:
+    """The column's name for Spark, dots and all."""
+    return "`" + column.replace("`", "``") + "`"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

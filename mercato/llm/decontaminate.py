@@ -264,4 +264,4 @@ def filtered(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     key = F.xxhash64("doc_id", "text")
     rows = docs.select(key.alias("doc_id"), "text")
     bad = staged(decontaminate(rows, benchmark).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct(), "hits")
-    return docs.join(bad, key == F.col("_bad"), "left_anti")
+    return docs.join(bad, key == bad["_bad"], "left_anti")

@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -83,10 +85,14 @@ def spans_of(text: str) -> list[tuple[int, int, int]]:
     if "AKIA" in text:
         out += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if len(m[0]) >= LEAST["access"]]
     out += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    base = list(out)
+    out.sort()
+    starts = [a for a, _, _ in out]
+    reach = list(accumulate((b for _, _, b in out), max))  # the furthest end so far
     for m in CANDIDATE.finditer(text):
-        if is_random(m[0]) and not any(a < m.end() and m.start() < b for a, _, b in base):
-            out.append((m.start(), 3, m.end()))
+        if is_random(m[0]):
+            n = bisect_left(starts, m.end())
+            if not n or reach[n - 1] <= m.start():
+                out.append((m.start(), 3, m.end()))
     return sorted(out)
 
 
@@ -131,7 +137,8 @@ def report(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
     """``docs`` with each span of ``text`` replaced by ``mask``; all columns and rows stay, null text too."""
     bounded_batches(docs.sparkSession)
-    schema = docs.schema
+    place = [c.lower() for c in docs.columns].index("text")
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))  # any names may come in
 
     def clean(text: str | None) -> str | None:
         spans = spans_of(text) if text else []
@@ -146,8 +153,8 @@ def redact(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
         return "".join([*parts, text[at:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            texts = pa.array([clean(t) for t in batch.column("text").to_pylist()], pa.string())
-            yield batch.set_column(batch.schema.get_field_index("text"), "text", texts)
+        for batch in slices(batches, f"c{place}"):
+            texts = pa.array([clean(t) for t in batch.column(place).to_pylist()], pa.string())
+            yield batch.set_column(place, f"c{place}", texts)
 
-    return docs.mapInArrow(run, schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)

@@ -23,7 +23,8 @@ def odd(spark):
     from pyspark.sql import functions as F
 
     docs = spark.createDataFrame(ODD_ROWS, ODD_SCHEMA)
-    clashing = ("n_words", "n_hit", "kept", "score", "ids", "spans", "start", "hit", "node", "key", "n", "bytes", "rid")
+    clashing = ("n_words", "n_hit", "kept", "score", "ids", "spans", "start", "hit", "node", "key", "n", "bytes", "rid",
+                "quality", "_text", "_lang", "_bad", "_kept_id", "middle", "wide", "band_lang", "a.b")
     return docs.withColumns({c: F.lit("clash") for c in clashing})
 
 

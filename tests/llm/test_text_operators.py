@@ -179,6 +179,7 @@ def test_quality_keeps_clean_and_handles_odd_rows(spark, odd, empty):
     assert len(got) == odd.count() and not any(r.kept for r in got if r.n_words < 10)
     assert quality.report(empty).count() == 0
     assert quality.filtered(odd).columns == odd.columns
+    assert quality.filtered(odd).count() == sum(r.kept for r in got)
 
 
 def test_secret_spans():
@@ -203,3 +204,11 @@ def test_secrets_odd_rows(spark, odd, empty):
     docs = spark.createDataFrame([(1, "a token=abcdef012 b"), (2, None)], "doc_id long, text string")
     assert [r.text for r in secrets.redact(docs).orderBy("doc_id").collect()] == ["a [secret] b", None]
     assert secrets.redact(odd).columns == odd.columns
+    assert sorted(map(tuple, secrets.redact(odd).collect()), key=str) == sorted(map(tuple, odd.collect()), key=str)
+
+
+def test_entropy_spans_keep_off_base_spans():
+    random_key = "zK9fQ2mX7vB4nT8wL1cR5pY3"
+    text = f"token={random_key} {random_key} passwd: {random_key} {random_key}"
+    kinds = [secrets.KINDS[k] for _, k, _ in secrets.spans_of(text)]
+    assert kinds == ["assign", "entropy", "assign", "entropy"]
