@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import bpe, classifier, decontaminate, html, language, minhash, quality, rans, secrets, substrings
 from .common import table
+from .oracle import ORACLE as ORACLE
 
 
 def vocabulary(name: str) -> str:
@@ -70,6 +71,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_substrings, op7_minhash, op8_secrets, op9_html, op10_classifier,
     )
 }
-
-#: SQL where it can express a query in reasonable time on whole tables.
-ORACLE: dict[str, str] = {}
