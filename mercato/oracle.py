@@ -516,6 +516,12 @@ UNION ALL SELECT 'item_count', 'int', v8 FROM v""")
 ORACLE["domain_check"] = q("""
 SELECT 'review_score' AS column_name, CAST(review_score AS VARCHAR) AS value, count(*) AS rows
 FROM fact_reviews WHERE review_score IS NOT NULL AND review_score NOT IN ('1', '2', '3', '4', '5') GROUP BY 2""")
+ORACLE["domain_check_status"] = """
+SELECT 'order_status' AS column_name, o_orderstatus AS value, count(*) AS rows
+FROM orders WHERE o_orderstatus NOT IN ('F', 'O') GROUP BY 2"""
+ORACLE["domain_check_payment_type"] = """
+SELECT 'payment_type' AS column_name, o_orderpriority AS value, count(*) AS rows
+FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW') GROUP BY 2"""
 
 ORACLE["silver_geolocation"] = q("SELECT DISTINCT zip, city, state FROM geolocation")
 ORACLE["silver_customers"] = q(

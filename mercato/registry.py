@@ -47,6 +47,9 @@ FACT_ORDERS_CONTRACT = (
 )
 # Allowed review scores.
 REVIEW_SCORES = ("1", "2", "3", "4", "5")
+#: Statuses of settled orders, and payment types that name a method.
+SETTLED_STATUSES = ("F", "O")
+NAMED_PAYMENT_TYPES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW")
 
 
 def _q(fn: Callable[[Model], DataFrame]) -> Query:
@@ -197,6 +200,8 @@ _QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     "orphan_keys": _orphans,
     "schema_enforcement": lambda m: quality.schema_enforcement(m.fact_orders, FACT_ORDERS_CONTRACT),
     "domain_check": lambda m: quality.domain_check(m.fact_reviews, "review_score", REVIEW_SCORES),
+    "domain_check_status": lambda m: quality.domain_check(m.orders, "order_status", SETTLED_STATUSES),
+    "domain_check_payment_type": lambda m: quality.domain_check(m.fact_payments, "payment_type", NAMED_PAYMENT_TYPES),
     # stage operators (silver cleaning and column functions)
     "silver_geolocation": lambda m: dedupe_rows(m.geolocation),
     "silver_customers": lambda m: dedupe_rows(clean_columns(_dirty_names(m.customers))),
