@@ -18,7 +18,8 @@ Components come from label propagation over the links.
 
 Null or wordless texts have empty sets and are linked with nothing. Fewer
 words than five are one shingle. Rows that repeat a document id count as
-separate rows with the same id. Other columns are not read.
+separate rows with the same id. A set that only rows without an id have is
+linked with nothing; such rows are kept. Other columns are not read.
 """
 
 from __future__ import annotations
