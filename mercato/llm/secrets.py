@@ -1,11 +1,16 @@
 """Secret scans: three base patterns and sliding-window entropy over candidate strings.
 
-A candidate is a run of 20 or more characters of the base64 alphabet. Its
-character class (hexadecimal, alphanumeric or base64) sets the entropy that
-some window of 20 characters must reach; the entropy of each window comes from
-the one before by the counts of the character that leaves and the one that
-enters. Candidates of one kind of character, known placeholders and allow-listed
-strings are not reported. Spans are code points, end exclusive.
+A candidate is a run of 20 or more characters of the base64 alphabet. It is
+reported if one of its windows of 20 characters reaches the entropy that the
+window's own characters set: digits, hexadecimal, letters like a word, words
+joined by separators or capitals, other alphanumerics, base64. The entropy of
+each window comes from the one before by the counts of the character that leaves
+and the one that enters. Windows that touch a known placeholder do not count; the
+rest of the candidate does. Spans are code points, end exclusive.
+
+A threshold loses the random strings below it: the share is small for mixed
+characters and larger for 20 digits or small letters alone, which words and
+numbers resemble (README).
 
 Null text counts as empty: no spans. Repeated rows are scanned each.
 """
@@ -36,45 +41,78 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 
 WINDOW = 20
-#: Bits a character that some window must reach, by character class.
+#: Bits a character that some window must reach, by the characters of the window.
 HEX_BITS, ALNUM_BITS, BASE64_BITS = 3.0, 3.7, 3.8
-#: Placeholders that documentation uses instead of secrets.
-ALLOWED = re.compile(r"(?i)example|sample|dummy|placeholder|changeme|your[_-]|xxxx|0123456789|abcdefgh|https?|www")
+#: The same for digits alone, digits with letters of one case, letters like a word, and words joined by separators or capitals.
+DIGIT_BITS, ONE_CASE_BITS, WORD_BITS, JOINED_BITS = 2.7, 3.5, 3.6, 4.1
+#: Letters that look like a word; joined words have few changes between letters and digits.
+WORD = re.compile(r"[A-Z]?[a-z]{3,}|[A-Z]{4,}")
+MOST_CHANGES = 2
+#: Placeholders that documentation uses instead of secrets; windows that touch one do not count.
+ALLOWED = re.compile(
+    r"(?i)example|sample|dummy|placeholder|changeme|your[_-]|x{4,}|0123456789|abcdefgh"
+    r"|(?<![a-z0-9])(?:https?|www)(?![a-z0-9])"
+)
 
 _PART = [0.0] + [n / WINDOW * math.log2(n / WINDOW) for n in range(1, WINDOW + 1)]
 
 
-def window_entropy(s: str, width: int = WINDOW) -> float:
-    """The largest Shannon entropy, in bits a character, of the windows of ``s``."""
-    if len(s) < width or width != WINDOW:
-        raise ValueError(f"needs {WINDOW} characters and windows of {WINDOW}")
+def window_entropies(s: str) -> Iterator[float]:
+    """The Shannon entropy, in bits a character, of each window of ``s``."""
     counts: dict[str, int] = {}
-    for c in s[:width]:
+    for c in s[:WINDOW]:
         counts[c] = counts.get(c, 0) + 1
-    total = best = -sum(_PART[n] for n in counts.values())
-    for gone, come in zip(s, s[width:]):
+    total = -sum(_PART[n] for n in counts.values())
+    yield total
+    for gone, come in zip(s, s[WINDOW:]):
         if gone != come:
             n, m = counts[gone], counts.get(come, 0)
             total += _PART[n] - _PART[n - 1] + _PART[m] - _PART[m + 1]
             counts[gone], counts[come] = n - 1, m + 1
-            best = max(best, total)
-    return best
+        yield total
+
+
+def window_entropy(s: str, width: int = WINDOW) -> float:
+    """The largest Shannon entropy, in bits a character, of the windows of ``s``."""
+    if len(s) < width or width != WINDOW:
+        raise ValueError(f"needs {WINDOW} characters and windows of {WINDOW}")
+    return max(window_entropies(s))
+
+
+def needed_bits(digits: int, letters: int, wordy: int, hexes: int, small: int, changes: int, capitals: int) -> float:
+    """The entropy that a window with so many characters of each kind must reach."""
+    if not letters:
+        return DIGIT_BITS if digits == WINDOW else HEX_BITS
+    if 2 * letters >= WINDOW and 5 * wordy >= 4 * letters and changes <= MOST_CHANGES:
+        return JOINED_BITS if capitals or letters < WINDOW else WORD_BITS
+    if hexes == WINDOW:
+        return HEX_BITS
+    if digits + letters < WINDOW:
+        return BASE64_BITS
+    return ONE_CASE_BITS if digits and small in (0, letters) else ALNUM_BITS
 
 
 def is_random(s: str) -> bool:
-    """Whether a candidate looks random for its character class and is not allow-listed."""
-    digits = sum(c.isdigit() for c in s)
-    letters = sum(c.isalpha() for c in s)
-    if digits < 2 or letters < 2 or ALLOWED.search(s):
-        return False
-    if all(c in "0123456789abcdefABCDEF-" for c in s):
-        bits = HEX_BITS
-    else:
-        # words joined by dashes, slashes or underscores are names, not secrets
-        if not re.search(r"[A-Za-z]\d.*[A-Za-z]\d|\d[A-Za-z].*\d[A-Za-z]", s):
-            return False
-        bits = ALNUM_BITS if s.isalnum() else BASE64_BITS
-    return window_entropy(s) >= bits
+    """Whether some window of a candidate looks random for its kind of characters and touches no placeholder."""
+    n = len(s)
+    wordy, allowed = bytearray(n), bytearray(n)
+    for marks, pattern in ((wordy, WORD), (allowed, ALLOWED)):
+        for m in pattern.finditer(s):
+            marks[m.start() : m.end()] = b"\1" * (m.end() - m.start())
+    digits, letters = [c.isdigit() for c in s], [c.isalpha() for c in s]
+    # changes between letters and digits, and capitals after small letters, inside a window: not at its first character
+    changes = [0, *(a + b == 1 == x + y for a, b, x, y in zip(digits, digits[1:], letters, letters[1:]))]
+    capitals = [0, *(a.islower() and b.isupper() for a, b in zip(s, s[1:]))]
+    hexes = [c in "0123456789abcdefABCDEF-" for c in s]
+    small = [c.islower() for c in s]
+    upto = [[0, *accumulate(x)] for x in (digits, letters, wordy, hexes, small, changes, capitals, allowed)]
+    for i, bits in enumerate(window_entropies(s)):
+        if bits < DIGIT_BITS:
+            continue
+        kinds = (x[i + WINDOW] - x[i + (k > 4)] for k, x in enumerate(upto[:7]))
+        if upto[7][i + WINDOW] == upto[7][i] and bits >= needed_bits(*kinds):
+            return True
+    return False
 
 
 def spans_of(text: str) -> list[tuple[int, int, int]]:

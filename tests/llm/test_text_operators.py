@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import string
 import zlib
 
 import numpy as np
@@ -213,3 +214,22 @@ def test_entropy_spans_keep_off_base_spans():
     text = f"token={random_key} {random_key} passwd: {random_key} {random_key}"
     kinds = [secrets.KINDS[k] for _, k, _ in secrets.spans_of(text)]
     assert kinds == ["assign", "entropy", "assign", "entropy"]
+
+
+@pytest.mark.parametrize("alphabet, size, most", [
+    ("0123456789", 20, 0.10), ("abcdefghijklmnopqrstuvwxyz", 32, 0.09), ("abcdefghijklmnopqrstuvwxyz0123456789", 20, 0.08),
+    (string.ascii_letters, 20, 0.10), (string.ascii_letters + string.digits, 20, 0.05),
+    (string.ascii_letters + string.digits + "+/", 20, 0.07), (string.ascii_letters + string.digits + "+/", 4000, 0.0),
+])
+def test_few_random_keys_are_lost(alphabet, size, most):
+    rnd = random.Random(5)
+    n = 100 if size > 100 else 1500
+    assert sum(not secrets.is_random("".join(rnd.choices(alphabet, k=size))) for _ in range(n)) <= most * n
+
+
+def test_a_placeholder_hides_only_its_windows():
+    key = "zK9fQ2mX7vB4nT8wL1cR5pY3"
+    assert secrets.is_random(f"example_{key}") and secrets.is_random(f"{key}www{key}")
+    names = ("your_api_key_example_1a2b3c4d", "how-to-make-the-best-pizza-dough-at-home", "internationalization",
+             "/usr/local/lib/python/site-packages/numpy", "2021-03-14-15-09-26-2021", "getElementsByClassName")
+    assert not any(map(secrets.is_random, names))
