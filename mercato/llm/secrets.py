@@ -116,8 +116,11 @@ def is_random(s: str) -> bool:
 
 
 def spans_of(text: str) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of all spans, by start and kind."""
-    out = []
+    """(start, kind, end) of all spans, by start and kind.
+
+    Entropy spans may overlap base spans; only what these cover entirely is left out.
+    """
+    out, found = [], []
     if ("=" in text or ":" in text) and ASSIGN_HINT.search(text):
         out += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= LEAST["assign"]]
     if "AKIA" in text:
@@ -126,12 +129,28 @@ def spans_of(text: str) -> list[tuple[int, int, int]]:
     out.sort()
     starts = [a for a, _, _ in out]
     reach = list(accumulate((b for _, _, b in out), max))  # the furthest end so far
+    assigned = [a for a, k, _ in out if k == 0]
     for m in CANDIDATE.finditer(text):
-        if is_random(m[0]):
-            n = bisect_left(starts, m.end())
-            if not n or reach[n - 1] <= m.start():
-                out.append((m.start(), 3, m.end()))
-    return sorted(out)
+        first, last = m.span()
+        # what stands before an assignment inside the candidate is its name or another candidate
+        n = bisect_left(assigned, first)
+        if n < len(assigned) and assigned[n] < last:
+            last = assigned[n]
+        if last - first < WINDOW or _covered(out, starts, reach, first, last):
+            continue
+        if is_random(text[first:last]):
+            found.append((first, 3, last))
+    return sorted(out + found)
+
+
+def _covered(spans: list[tuple[int, int, int]], starts: list[int], reach: list[int], first: int, last: int) -> bool:
+    """Whether sorted spans cover all of [first, last)."""
+    n = bisect_left(starts, first + 1)
+    at = max(first, reach[n - 1]) if n else first
+    while at < last and n < len(spans) and spans[n][0] <= at:
+        at = max(at, spans[n][2])
+        n += 1
+    return at >= last
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -173,7 +192,7 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
-    """``docs`` with each span of ``text`` replaced by ``mask``; all columns and rows stay, null text too."""
+    """``docs`` with the union of overlapping spans of ``text`` replaced by one ``mask``; all columns and rows stay, null text too."""
     bounded_batches(docs.sparkSession)
     place = [c.lower() for c in docs.columns].index("text")
     plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))  # any names may come in
