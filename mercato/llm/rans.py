@@ -17,6 +17,8 @@ first; rows that repeat an id follow each other in an order fixed by their text.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -145,11 +147,60 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+def added_tokens(data: str) -> list[tuple[re.Pattern, list[int]]]:
+    """Patterns of the JSON file's added tokens, each group with its id; those matched before normalising come first."""
+    out = []
+    known = json.loads(data).get("added_tokens") or []
+    for normalized in (False, True):
+        found = [t for t in known if bool(t.get("normalized")) == normalized and t["content"]]
+        found.sort(key=lambda t: -len(t["content"]))  # of two at one place, the longer
+        parts = []
+        for t in found:
+            word = ("(?<!\\w)", "(?!\\w)") if t.get("single_word") else ("", "")
+            left, right = ("\\s*" if t.get(k) else "" for k in ("lstrip", "rstrip"))
+            parts.append(f"({left}{word[0]}{re.escape(t['content'])}{word[1]}{right})")
+        if parts:
+            out.append((re.compile("|".join(parts)), [t["id"] for t in found]))
+    return out
+
+
+def split_added(text: str, added: list[tuple[re.Pattern, list[int]]]) -> list[str | int]:
+    """The text between added tokens, and their ids, in order."""
+    parts: list[str | int] = [text]
+    for pattern, ids in added:
+        after: list[str | int] = []
+        for part in parts:
+            at = 0
+            if isinstance(part, str):
+                for m in pattern.finditer(part):
+                    after += [part[at : m.start()], ids[m.lastindex - 1]]
+                    at = m.end()
+            after.append(part[at:] if isinstance(part, str) else part)
+        parts = after
+    return parts
+
+
+def encode_all(texts: list[str], added: list, pre: PreTokenizer, ids_of: PieceIds) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the texts one after another, and where each begins: added tokens first, then pieces of what is between."""
+    split = [split_added(t, added) for t in texts]
+    if all(len(parts) == 1 for parts in split):
+        return encode_texts(texts, pre, ids_of)[:2]
+    ids, upto, _, _ = encode_texts([x for parts in split for x in parts if isinstance(x, str)], pre, ids_of)
+    bounds = iter(zip(upto[:-1].tolist(), upto[1:].tolist()))
+    out, sizes = [], [0]
+    for parts in split:
+        mine = [[x] if isinstance(x, int) else ids[slice(*next(bounds))] for x in parts]
+        out += mine
+        sizes.append(sum(map(len, mine)))
+    return np.concatenate(out).astype(ids.dtype), np.cumsum(sizes)
+
+
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     """Staged ``doc_id, tie, ids binary`` and, for each task, its counts of ids (``tie`` null).
 
-    Pieces come from the pre-tokenizer of :mod:`bpe`; each distinct piece is
-    encoded by the model of the tokenizers library and kept.
+    Added tokens of the JSON file are matched first, as the tokenizers library
+    does with its default settings. Pieces of the rest come from the pre-tokenizer
+    of :mod:`bpe`; each distinct piece is encoded by the library's model and kept.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -161,7 +212,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
         from tokenizers import Tokenizer
 
         data, classes = shared.value
-        model = Tokenizer.from_str(data).model
+        model, added = Tokenizer.from_str(data).model, added_tokens(data)
         letters = _byte_letters()
 
         def find(pieces: list[bytes]) -> list[bytes]:
@@ -174,7 +225,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
         counts = np.zeros(1, np.int64)
         empty = None
         for batch in slices(batches, "text", 4 << 20):
-            ids, upto, _, _ = encode_texts(texts_of(batch), pre, ids_of)
+            ids, upto = encode_all(texts_of(batch), added, pre, ids_of)
             found = np.bincount(np.append(ids, end_id))
             found[end_id] += len(batch) - 1
             if len(found) > len(counts):

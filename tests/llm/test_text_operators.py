@@ -1,6 +1,7 @@
 """Tokens, quality rules, secrets, decontamination: brute force, libraries and odd rows."""
 
 import hashlib
+import json
 import random
 import re
 import string
@@ -245,3 +246,28 @@ def test_a_base_span_inside_a_key_leaves_no_rest(spark):
     # names of assignments are not secrets, a key before one is
     assert [k for _, k, _ in secrets.spans_of(f"my_api_key={left}")] == [0]
     assert secrets.spans_of(f"{left}_token={right}")[0] == (0, 3, 25)
+
+
+def test_op3_matches_added_tokens_as_the_library(spark):
+    tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))  # default settings
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x\n<|endoftext|>  y", "<|endoftext|", "plain 12", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    at = 0
+    for r in sorted(rans.report(docs, P.path("byte_bpe_50k.json")).collect()):
+        ids = tok.encode(texts[r.doc_id] or "", add_special_tokens=False).ids + [2]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        at += len(ids)
+
+
+def test_added_tokens_of_all_kinds():
+    data = json.load(open(P.path("byte_bpe_50k.json")))
+    kinds = [("<a>", {}), ("<a><b>", {}), ("<l>", {"lstrip": True}), ("<r>", {"rstrip": True}), ("<n>", {"normalized": True}),
+             ("wdqz", {"single_word": True})]
+    plain = {"single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True}
+    data["added_tokens"] += [{"id": 50257 + i, "content": c, **plain, **k} for i, (c, k) in enumerate(kinds)]
+    tok, added = Tokenizer.from_str(json.dumps(data)), rans.added_tokens(json.dumps(data))
+    rnd = random.Random(6)
+    for _ in range(300):
+        text = "".join(rnd.choice(["<a>", "<b>", "<l>", "<r>", "<n>", "wdqz", " ", "x", "\n", "<|endoftext|>"]) for _ in range(8))
+        want = [i for i in tok.encode(text, add_special_tokens=False).ids if i >= 50256]
+        assert [x for x in rans.split_added(text, added) if isinstance(x, int)] == want, text
