@@ -19,7 +19,8 @@ Components come from label propagation over the links.
 Null or wordless texts have empty sets and are linked with nothing. Fewer
 words than five are one shingle. Rows that repeat a document id count as
 separate rows with the same id. A set that only rows without an id have is
-linked with nothing; such rows are kept. Other columns are not read.
+linked with nothing in the report, where such rows are kept; ``filtered`` links
+them too. Other columns are not read but by ``filtered``, to tell rows apart.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import bounded_batches, slices, staged, texts_of
+from .common import bounded_batches, free_names, quoted, slices, staged, texts_of
 
 SHINGLE = 5
 #: Link if 100 * |intersection| >= LEAST_PERCENT * |union|.
@@ -364,6 +365,17 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def filtered(docs: DataFrame) -> DataFrame:
-    """One row of each component, with all columns: the one with the smallest id."""
-    kept = report(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
+    """Exactly one row of each component, with all columns: the one with the smallest id.
+
+    Rows are known by their id and a digest of all columns, so repeated ids keep
+    their own texts apart, rows without an id come behind those with one, and of
+    identical rows one stays. Columns that Spark cannot hash (maps) may not come in.
+    """
+    (name,) = free_names(docs.columns, "_key")
+    columns = [quoted(c) for c in docs.columns]
+    # two digests, over the columns and over the columns backwards
+    tie = F.concat_ws("-", F.xxhash64(*columns), F.xxhash64(*columns[::-1], F.lit(1)))
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), tie.alias("tie"))
+    rows = docs.withColumn(name, key).dropDuplicates([name])
+    kept = report(rows.select(F.col(name).alias("doc_id"), "text")).where("kept").select(F.col("doc_id").alias("_kept_id"))
+    return rows.join(kept, rows[name] == kept["_kept_id"], "left_semi").select(*columns)

@@ -76,6 +76,20 @@ def test_near_duplicates_odd_rows(odd, empty):
     assert minhash.filtered(odd).columns == odd.columns
 
 
+def test_one_row_of_each_component_stays(spark):
+    """Identical rows, an id with two near texts, one id with two far texts, rows without an id, no words."""
+    words = [f"w{i}" for i in range(60)]
+    text, near = " ".join(words), " ".join(["v", *words[1:]])
+    far, alone = " ".join(f"x{i}" for i in range(20)), " ".join(f"y{i}" for i in range(20))
+    rows = [(1, text, "a"), (1, text, "a"), (1, near, "b"), (2, text, "c"), (1, far, "d"), (None, near, "e"),
+            (None, alone, "f"), (None, alone, "f"), (3, None, "g"), (3, None, "g"), (4, "", "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted((r.doc_id or 0, r.source) for r in minhash.filtered(docs).collect())
+    first = [g for g in got if g in ((1, "a"), (1, "b"))]
+    assert len(first) == 1  # of one component
+    assert [g for g in got if g not in first] == [(0, "f"), (1, "d"), (3, "g"), (4, "h")]
+
+
 def test_register_compression():
     values = np.array([1 << 63, (1 << 62) + (1 << 61), 1, 0xFFFFFFFFFFFFFFFF], np.uint64)
     out = minhash.compress(values)
