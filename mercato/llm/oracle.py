@@ -96,8 +96,46 @@ SELECT doc_id, coalesce(len(shingles.s), 0) AS n_shingles, coalesce(component_id
 FROM doc LEFT JOIN shingles USING (doc_id) LEFT JOIN class ON shingles.s = class.s LEFT JOIN label USING (node)
 """
 
+#: All phrases of up to four words are listed, with every cut and every longer phrase.
+COLLOCATIONS = rf"""
+WITH piece AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents
+), words AS (
+    SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM piece
+), gram AS (
+    SELECT lang, size, phrase, count(*) AS f
+    FROM (SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2),
+                 lambda i: array_to_string(w[i : i + size - 1], ' '))) AS phrase
+          FROM words, (VALUES (1), (2), (3), (4)) AS sizes(size) WHERE len(w) >= size)
+    GROUP BY lang, size, phrase
+), total AS (
+    SELECT lang, sum(f) AS n FROM gram WHERE size = 1 GROUP BY lang
+), candidate AS (
+    SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM gram WHERE size > 1 AND f >= 30
+), cut AS (
+    SELECT c.lang, c.size, c.phrase, c.a, k, l.f AS l, r.f AS r,
+           CAST(2000000 * CAST(c.a AS HUGEINT) // (CAST(l.f AS HUGEINT) + r.f) AS BIGINT) AS score
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM candidate) c
+    JOIN gram l ON l.lang = c.lang AND l.phrase = array_to_string(w[1:k], ' ')
+    JOIN gram r ON r.lang = c.lang AND r.phrase = array_to_string(w[k + 1 :], ' ')
+), best AS (
+    SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inner_part AS (
+    SELECT lang, a, array_to_string(w[s : s + m - 1], ' ') AS phrase
+    FROM (SELECT *, unnest(range(1, size - m + 2)) AS s FROM (SELECT *, unnest(range(2, size)) AS m FROM candidate))
+), longer AS (
+    SELECT lang, phrase, max(a) AS most FROM inner_part GROUP BY lang, phrase
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+FROM best JOIN total USING (lang) LEFT JOIN longer USING (lang, phrase)
+WHERE most IS NULL OR 100 * CAST(most AS HUGEINT) < 80 * CAST(a AS HUGEINT)
+QUALIFY rank <= 2000
+"""
+
 ORACLE = {
     "op2_decontaminate": DECONTAMINATE,
     "op6_substrings": SUBSTRINGS,
     "op7_minhash": NEAR_DUPLICATES,
+    "op11_collocations": COLLOCATIONS,
 }
