@@ -133,9 +133,55 @@ WHERE most IS NULL OR 100 * CAST(most AS HUGEINT) < 80 * CAST(a AS HUGEINT)
 QUALIFY rank <= 2000
 """
 
+#: crc32 by the table of its polynomial; near words by equal keys with one place blanked, or left out.
+SPELLING = rf"""
+WITH RECURSIVE crc AS (
+    SELECT list(c ORDER BY i) AS t
+    FROM (SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c
+          FROM range(256) AS r(i))
+), run AS (
+    SELECT CAST(doc_id AS VARCHAR) AS id, run, count(*) AS c
+    FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[a-zÀ-ÿ]+')) AS run FROM documents)
+    WHERE length(run) >= 7 GROUP BY ALL
+), hashed AS (
+    SELECT run, c, xor(list_reduce(
+        flatten(list_transform(string_split(coalesce(id, '') || ':' || run, ''),
+                lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)] ELSE [195, unicode(x) - 64] END)),
+        lambda s, b: xor(s >> 8, t[(xor(s, b) & 255) + 1]), 4294967295), 4294967295) AS h
+    FROM run, crc
+), word AS (
+    SELECT word, CAST(sum(c) AS BIGINT) AS n
+    FROM (SELECT c, CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+                    ELSE run END AS word FROM hashed)
+    WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2
+), place AS (
+    SELECT word, n, substr(word, 1, i - 1) AS x, substr(word, i + 1) AS y
+    FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM word)
+), shorter AS (
+    SELECT DISTINCT p.word AS long, w.word AS short FROM place p JOIN word w ON w.word = x || y
+), near AS (
+    SELECT a.word, b.word AS other FROM place a JOIN place b ON a.x = b.x AND a.y = b.y AND a.word <> b.word
+    UNION ALL SELECT long, short FROM shorter UNION ALL SELECT short, long FROM shorter
+), best AS (
+    SELECT near.word, other, o.n AS other_n, count(*) OVER (PARTITION BY near.word) AS n_near
+    FROM near JOIN word o ON o.word = other
+    QUALIFY row_number() OVER (PARTITION BY near.word ORDER BY o.n DESC, other) = 1
+), formed AS (
+    SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * n THEN other END AS form,
+           CASE WHEN other_n >= 10 * n THEN other_n END AS form_n
+    FROM word LEFT JOIN best USING (word)
+), chain AS (
+    SELECT word, word AS last, 0 AS steps FROM word
+    UNION ALL SELECT chain.word, form, steps + 1 FROM chain JOIN formed ON formed.word = last WHERE form IS NOT NULL
+)
+SELECT word, form, root, n, n_near, form_n
+FROM formed JOIN (SELECT word, arg_max(last, steps) AS root FROM chain GROUP BY word) USING (word)
+"""
+
 ORACLE = {
     "op2_decontaminate": DECONTAMINATE,
     "op6_substrings": SUBSTRINGS,
     "op7_minhash": NEAR_DUPLICATES,
     "op11_collocations": COLLOCATIONS,
+    "op12_spelling": SPELLING,
 }

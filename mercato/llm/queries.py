@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, classifier, collocations, decontaminate, html, language, minhash, quality, rans, secrets, substrings
+from . import bpe, classifier, collocations, decontaminate, html, language, minhash, quality, rans, secrets, sharding, spelling, substrings
 from .common import table
 from .oracle import ORACLE as ORACLE
 
@@ -68,11 +68,19 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.report(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.report(table(spark, sf_dir, "documents"))
+
+
+def op13_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_bpe, op2_decontaminate, op3_rans, op4_language, op5_quality,
         op6_substrings, op7_minhash, op8_secrets, op9_html, op10_classifier,
-        op11_collocations,
+        op11_collocations, op12_spelling, op13_reshard,
     )
 }
