@@ -9,17 +9,18 @@ its last word and the phrase without its first word are.
    lowered threshold. What it finds is the proposal.
 2. A pass over all documents counts every phrase whose two shorter parts are
    proposed: the proposal itself and its negative border (the smallest phrases
-   outside it). All single words are counted. These counts are exact.
+   outside it). All single words are counted.
 3. Frequent phrases of the border are failures of the sample. They join the
    proposal, and a further pass counts the phrases that this brings in, until
    no pass finds a failure. A pass reaches at least one word further, so there
    are at most four.
+4. These passes count 62-bit hashes, which can only make a phrase look more
+   frequent than it is. A last pass counts what is left by its text, exactly.
 
-The proposal travels as a bit filter of ``FILTER_WORDS`` 64-bit words, a bound
-that does not depend on the corpus. A phrase that the filter holds by chance
-counts as proposed: that costs counting, never a result. The rule by which a
-pass counts depends on the phrase alone, so each phrase is counted whole, in
-one pass.
+Sets of hashes travel as bit filters of ``FILTER_WORDS`` 64-bit words, a bound
+that does not depend on the corpus. A phrase that a filter holds by chance is
+counted needlessly; no result depends on it. The rule by which a pass counts
+depends on the phrase alone, so each phrase is counted whole, in one pass.
 
 Scores divide whole numbers in 38 digits. A language's first phrases are found
 by a tournament of salted groups, so no task ranks all candidates of one.
@@ -33,7 +34,8 @@ no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -55,8 +57,8 @@ FIRST = 2000
 SAMPLE_OF, SAMPLE_SUPPORT = 4, 3
 #: 64-bit words of the filter (8 MiB).
 FILTER_WORDS = 1 << 20
-#: Bytes of text that are counted together.
-BLOCK_BYTES = 8 << 20
+#: Bytes of text that are read together, hashes and texts that are counted together.
+BLOCK_BYTES, HELD_HASHES, HELD_TEXTS = 2 << 20, 4 << 20, 500_000
 #: Groups of the tournament's rounds.
 SALTS = (256, 16, 1)
 
@@ -82,12 +84,17 @@ def _longer(h: np.ndarray, word: np.ndarray) -> np.ndarray:
     return _mix(h * np.uint64(_MIX[0]) + word)
 
 
+def _coded(h: np.ndarray, size: int) -> np.ndarray:
+    """The hash with the phrase's size in its two lowest bits."""
+    return h & ~np.uint64(3) | np.uint64(size - 1)
+
+
 def _place(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The filter's word of each hash and the four bits that it sets there."""
+    """The filter's word of each coded hash and the four bits that it sets there."""
     mask = np.zeros(len(h), np.uint64)
     for k in range(4):
-        mask |= np.uint64(1) << ((h >> np.uint64(6 * k)) & np.uint64(63))
-    return ((h >> np.uint64(24)) % np.uint64(FILTER_WORDS)).astype(np.int64), mask
+        mask |= np.uint64(1) << ((h >> np.uint64(6 * k + 2)) & np.uint64(63))
+    return ((h >> np.uint64(32)) % np.uint64(FILTER_WORDS)).astype(np.int64), mask
 
 
 def _holds(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -95,19 +102,6 @@ def _holds(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bits[at] & mask) == mask
 
 
-class Vocabulary(dict):
-    """Numbers of words in the order they come in, with their hashes."""
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.hashes: list[int] = []
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self.hashes)
-        self.hashes.append(xxhash.xxh3_64_intdigest(word))
-        return n
-
-
 def blocks(raw: bytes, limit: int = BLOCK_BYTES) -> Iterator[tuple[bytes, int]]:
     """Lower-cased parts of about ``limit`` bytes, and how many words at the start of each were in the one before."""
     raw, back = raw.translate(_TABLE), b""
@@ -124,59 +118,91 @@ def blocks(raw: bytes, limit: int = BLOCK_BYTES) -> Iterator[tuple[bytes, int]]:
     yield back + raw[start:], carried
 
 
-def counted(
-    raw: bytes, carried: int, lang: str, words_of: Vocabulary, lengths: Iterable[int],
-    have: np.ndarray | None, before: np.ndarray | None,
-) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[bytes], np.ndarray]]:
-    """``size, firsts, counts, words, hashes`` of the distinct phrases of a block that the rule admits.
-
-    ``firsts`` are indices into ``words``; ``hashes`` belongs to all places of the size.
-    """
-    words = raw.split()
-    n = len(words)
-    if n <= carried:
-        return
-    data = np.frombuffer(raw, np.uint8)
-    sep = data == 10
-    inside = ~sep & (data != 32)
-    starts = np.flatnonzero(inside & ~np.concatenate([[False], inside[:-1]]))
-    piece = np.cumsum(sep, dtype=np.int32)[starts]
-    ids = np.fromiter(map(words_of.__getitem__, words), np.int64, n)
-    word_hash = np.array(words_of.hashes, np.uint64)[ids]
-    h = _mix(word_hash + _seed(lang))
-    most = max(lengths)
-    for size in range(1, most + 1):
-        if size > n:
-            return
+class Reader:
+    """Finds words and their hashes in lower-cased bytes, all at once.
+
+    The hash of a word is the sum of a random number for each byte times a power
+    of its place, taken from running sums over the block.
+    """
+
+    BASE = 0x9E3779B97F4A7C15
+
+    def __init__(self, tables: int = 1) -> None:
+        random = np.random.default_rng(11)
+        self.tables = [random.integers(0, 1 << 64, 256, np.uint64) for _ in range(tables)]
+        self.up = self.down = np.zeros(0, np.uint64)
+
+    def words(self, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+        """Starts, ends, numbers of the pieces and hashes (one array for each table)."""
+        data = np.frombuffer(raw, np.uint8)
+        n = len(data)
+        if len(self.up) < n + 1:
+            self.up, self.down = (
+                np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, k, np.uint64))])
+                for k in (self.BASE, pow(self.BASE, -1, 1 << 64))
+            )
+        mark = data == 10
+        inside = np.zeros(n + 2, bool)
+        np.logical_not(mark | (data == 32), out=inside[1:-1])
+        starts = np.flatnonzero(inside[1:] & ~inside[:-1])
+        ends = np.flatnonzero(inside[:-1] & ~inside[1:])
+        piece = np.cumsum(mark, dtype=np.int32)[starts]
+        hashes = []
+        for table in self.tables:
+            sums = np.zeros(n + 1, np.uint64)
+            np.cumsum(table[data] * self.up[:n], out=sums[1:])
+            hashes.append(_mix((sums[ends] - sums[starts]) * self.down[starts]))
+        return starts, ends, piece, hashes
+
+
+def _joined(piece: np.ndarray, size: int, carried: int) -> np.ndarray:
+    """Where phrases of ``size`` words lie in one piece and end behind the words carried over."""
+    ok = piece[: len(piece) - size + 1] == piece[size - 1 :]
+    ok[: max(carried - size + 1, 0)] = False
+    return ok
+
+
+def admitted(
+    reader: Reader, raw: bytes, carried: int, lang: str, sizes: range, have: np.ndarray, before: np.ndarray | None
+) -> Iterator[np.ndarray]:
+    """Coded hashes of the phrases whose two shorter parts ``have`` holds, and ``before`` did not."""
+    _, _, piece, (word,) = reader.words(raw)
+    h = _mix(word + _seed(lang))
+    for size in range(1, min(sizes.stop, len(word) + 1)):
+        ok = _joined(piece, size, carried)
         if size > 1:
-            known = _holds(have, h)
-            old = _holds(before, h) if before is not None else None
-            same = piece[: n - size + 1] == piece[size - 1 :]
-            admitted = same & known[:-1] & known[1:]
-            if old is not None:
-                admitted &= ~(old[:-1] & old[1:])
-            h = _longer(h[:-1], word_hash[size - 1 :])
-        else:
-            admitted = np.ones(n, bool)
-        admitted[: max(carried - size + 1, 0)] = False
-        if size not in lengths:
-            continue
-        at = np.flatnonzero(admitted)
+            parts = _coded(h, size - 1)
+            known = _holds(have, parts)
+            ok &= known[:-1] & known[1:]
+            if before is not None:
+                old = _holds(before, parts)
+                ok &= ~(old[:-1] & old[1:])
+            h = _longer(h[:-1], word[size - 1 :])
+        if size in sizes:
+            yield _coded(h[ok], size)
+
+
+def spelt(reader: Reader, raw: bytes, carried: int, lang: str, wanted: np.ndarray) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
+    """``size, phrases, counts`` of the block's phrases whose hashes ``wanted`` holds."""
+    starts, ends, piece, hashes = reader.words(raw)
+    seed, n = _seed(lang), len(starts)
+    h = [_mix(word + seed) for word in hashes]
+    for size in range(1, min(LONGEST, n) + 1):
+        if size > 1:
+            h = [_longer(x[:-1], word[size - 1 :]) for x, word in zip(h, hashes)]
+        at = np.flatnonzero(_joined(piece, size, carried) & _holds(wanted, _coded(h[0], size)))
         if not len(at):
             continue
-        if size == 1:
-            key = ids[at]
-        elif size == 2:
-            key = ids[at] << 32 | ids[at + 1]
-        else:
-            pair = ids[:-1] << 32 | ids[1:]
-            if size == 3:
-                key = np.unique(pair[at], return_inverse=True)[1] << 32 | ids[at + 2]
-            else:
-                both = np.unique(np.concatenate([pair[at], pair[at + 2]]), return_inverse=True)[1]
-                key = both[: len(at)] << 32 | both[len(at) :]
-        _, first, count = np.unique(key, return_index=True, return_counts=True)
-        yield size, at[first], count, words, h
+        one, two = (x[at] for x in h)
+        _, first, group, count = np.unique(one, return_index=True, return_inverse=True, return_counts=True)
+        if (two != two[first][group]).any():  # 128 bits tell phrases apart
+            both = np.stack([one, two], axis=1)
+            _, first, count = np.unique(both, axis=0, return_index=True, return_counts=True)
+        left, right = starts[at[first]], ends[at[first] + size - 1]
+        found = [raw[a:b] for a, b in zip(left.tolist(), right.tolist())]
+        if size > 1:
+            found = [p if p.count(b" ") == size - 1 else b" ".join(p.split()) for p in found]
+        yield size, found, count
 
 
 def _sources(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
@@ -193,72 +219,74 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text.alias("raw"))
 
 
-def hashes(texts: DataFrame, size: int, have: np.ndarray | None) -> DataFrame:
-    """``hash, f`` of the phrases of one size, partly counted."""
-    shared = texts.sparkSession.sparkContext.broadcast(have)
+def hashes(texts: DataFrame, sizes: range, have: np.ndarray, before: np.ndarray | None = None) -> DataFrame:
+    """``hash, f`` of the admitted phrases."""
+    shared = texts.sparkSession.sparkContext.broadcast((have, before))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_of = Vocabulary()
+        reader, (now, past) = Reader(), shared.value
+        held: list[np.ndarray] = []
+        total = 0
         for lang, source in _sources(batches):
             for raw, carried in blocks(source):
-                if len(words_of) > 500_000:
-                    words_of = Vocabulary()
-                for _, first, count, _, h in counted(raw, carried, lang, words_of, (size,), shared.value, None):
-                    yield pa.RecordBatch.from_arrays([pa.array(h[first].view(np.int64)), pa.array(count)], names=["hash", "f"])
+                for found in admitted(reader, raw, carried, lang, sizes, now, past):
+                    held.append(found)
+                    total += len(found)
+                if total > HELD_HASHES:
+                    yield _batch(held)
+                    held, total = [], 0
+        if held:
+            yield _batch(held)
 
-    return texts.mapInArrow(run, "hash bigint, f bigint")
+    def _batch(held: list[np.ndarray]) -> pa.RecordBatch:
+        found, count = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(count)], names=["hash", "f"])
 
+    return texts.mapInArrow(run, "hash bigint, f bigint").groupBy("hash").agg(F.sum("f").alias("f"))
 
-def phrases(texts: DataFrame, have: np.ndarray, before: np.ndarray | None) -> DataFrame:
-    """``lang, size, phrase, f``, partly counted; without ``before`` also all words, and their number as size 0."""
-    shared = texts.sparkSession.sparkContext.broadcast((have, before))
+
+def phrases(texts: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """``lang, size, phrase, f`` of the phrases that ``wanted`` holds; size 0 has the number of all words."""
+    shared = texts.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_of, (now, past) = Vocabulary(), shared.value
-        lengths = range(1 if past is None else 2, LONGEST + 1)
+        reader = Reader(2)
+        held: dict[tuple[str, int], Counter[bytes]] = {}
         for lang, source in _sources(batches):
+            words = held.setdefault((lang, 0), Counter())
             for raw, carried in blocks(source):
-                if len(words_of) > 500_000:
-                    words_of = Vocabulary()
-                for size, first, count, words, _ in counted(raw, carried, lang, words_of, lengths, now, past):
-                    if size == 1:
-                        found = [words[i] for i in first.tolist()]
-                        yield _rows(lang, 0, [b""], np.array([count.sum()]))
-                    else:
-                        found = [b" ".join(words[i : i + size]) for i in first.tolist()]
-                    yield _rows(lang, size, found, count)
-
-    def _rows(lang: str, size: int, found: list[bytes], count: np.ndarray) -> pa.RecordBatch:
-        n = len(found)
+                words[b""] += len(raw.split()) - carried
+                for size, found, count in spelt(reader, raw, carried, lang, shared.value):
+                    counter = held.setdefault((lang, size), Counter())
+                    for phrase, n in zip(found, count.tolist()):
+                        counter[phrase] += n
+            if sum(map(len, held.values())) > HELD_TEXTS:
+                yield from map(_batch, held.items())
+                held = {}
+        yield from map(_batch, held.items())
+
+    def _batch(item: tuple[tuple[str, int], Counter[bytes]]) -> pa.RecordBatch:
+        (lang, size), counter = item
+        n = len(counter)
         return pa.RecordBatch.from_arrays(
             [pa.array([lang]).take(pa.array(np.zeros(n, np.int64))), pa.array(np.full(n, size, np.int32)),
-             pa.array(found, pa.binary()), pa.array(count.astype(np.int64))],
+             pa.array(counter.keys(), pa.binary()), pa.array(counter.values(), pa.int64())],
             names=["lang", "size", "phrase", "f"],
         )
 
-    return texts.mapInArrow(run, "lang string, size int, phrase binary, f bigint")
+    rows = texts.mapInArrow(run, "lang string, size int, phrase binary, f bigint")
+    return rows.groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f"))
 
 
-def placed(found: DataFrame) -> DataFrame:
-    """``at, mask`` in the filter of each phrase of ``lang, phrase``."""
+def gathered(found: DataFrame) -> np.ndarray:
+    """The filter of all ``hash``: at most ``FILTER_WORDS`` rows come to the driver, however many there are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = np.zeros(len(batch), np.uint64)
-            for i, (lang, phrase) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
-                word, *rest = [np.array([xxhash.xxh3_64_intdigest(w)], np.uint64) for w in phrase.split(b" ")]
-                h = _mix(word + _seed(lang))
-                for w in rest:
-                    h = _longer(h, w)
-                out[i] = h[0]
-            at, mask = _place(out)
+            at, mask = _place(batch.column(0).to_numpy().view(np.uint64))
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(mask.view(np.int64))], names=["at", "mask"])
 
-    return found.select("lang", "phrase").mapInArrow(run, "at bigint, mask bigint")
-
-
-def gathered(places: DataFrame) -> np.ndarray:
-    """The filter: at most ``FILTER_WORDS`` rows come to the driver, however many phrases there are."""
+    places = found.select("hash").mapInArrow(run, "at bigint, mask bigint")
     rows = places.groupBy("at").agg(F.bit_or("mask").alias("mask")).toArrow()
     bits = np.zeros(FILTER_WORDS, np.uint64)
     bits[rows.column("at").to_numpy()] = rows.column("mask").to_numpy().view(np.uint64)
@@ -266,19 +294,12 @@ def gathered(places: DataFrame) -> np.ndarray:
 
 
 def proposal(docs: DataFrame, sample_of: int = SAMPLE_OF, support: int = SAMPLE_SUPPORT) -> np.ndarray:
-    """The filter of the phrases that occur ``support`` times in the sample."""
+    """The filter of the phrases that occur ``support`` times in the sample; the longest cannot be part of others."""
     keyed = docs.where(F.pmod(F.xxhash64(F.col("doc_id"), F.col("text")), F.lit(sample_of)) == 0)
     sample = staged(_texts(keyed), "sample")
     have = np.zeros(FILTER_WORDS, np.uint64)
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at, mask = _place(batch.column(0).to_numpy().view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(mask.view(np.int64))], names=["at", "mask"])
-
     for size in range(1, LONGEST):
-        often = hashes(sample, size, have).groupBy("hash").agg(F.sum("f").alias("f")).where(F.col("f") >= support)
-        have = have | gathered(often.select("hash").mapInArrow(place, "at bigint, mask bigint"))
+        have = have | gathered(hashes(sample, range(size, size + 1), have).where(F.col("f") >= support))
     return have
 
 
@@ -287,17 +308,18 @@ def frequent(
 ) -> DataFrame:
     """``lang, size, phrase, f`` of every phrase of up to four words with ``f >= support``, exactly; size 0 holds all words."""
     have, before = proposal(docs, sample_of, sample_support), None
-    texts = _texts(docs)
-    whole: DataFrame | None = None
+    texts, wanted = _texts(docs), np.zeros(FILTER_WORDS, np.uint64)
     while True:
-        found = phrases(texts, have, before).groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f"))
-        found = staged(found.where((F.col("f") >= support) | (F.col("size") == 0)), "phrases")
-        whole = found if whole is None else whole.union(found)
-        # failures of the sample: frequent, but not proposed; the longest have no longer phrases to bring in
-        bits = gathered(placed(found.where(F.col("size").between(1, LONGEST - 1))))
-        if not (bits & ~have).any():
-            return whole
-        before, have = have, have | bits
+        sizes = range(1 if before is None else 2, LONGEST + 1)
+        often = staged(hashes(texts, sizes, have, before).where(F.col("f") >= support), "often")
+        wanted = wanted | gathered(often)
+        # failures of the sample: frequent, but not proposed; the longest bring nothing in
+        failed = gathered(often.where(F.col("hash").bitwiseAND(3) < LONGEST - 1)) & ~have
+        if not failed.any():
+            break
+        before, have = have, have | failed
+    exact = phrases(texts, wanted)
+    return staged(exact.where((F.col("f") >= support) | (F.col("size") == 0)), "phrases")
 
 
 def scored(found: DataFrame) -> DataFrame:
