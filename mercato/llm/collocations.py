@@ -58,7 +58,9 @@ SAMPLE_OF, SAMPLE_SUPPORT = 4, 3
 #: 64-bit words of the filter (8 MiB).
 FILTER_WORDS = 1 << 20
 #: Bytes of text that are read together, hashes and texts that are counted together.
-BLOCK_BYTES, HELD_HASHES, HELD_TEXTS = 2 << 20, 4 << 20, 500_000
+BLOCK_BYTES, HELD_HASHES, HELD_TEXTS = 2 << 20, 4 << 20, 700_000
+#: Input splits that a task of the last pass reads, as long as each core has two tasks.
+SPLITS = 4
 #: Groups of the tournament's rounds.
 SALTS = (256, 16, 1)
 
@@ -246,7 +248,12 @@ def hashes(texts: DataFrame, sizes: range, have: np.ndarray, before: np.ndarray
 
 
 def phrases(texts: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """``lang, size, phrase, f`` of the phrases that ``wanted`` holds; size 0 has the number of all words."""
+    """``lang, size, phrase, f`` of the phrases that ``wanted`` holds; size 0 has the number of all words.
+
+    A task hands on each of its phrases once, so a few larger tasks hand on less.
+    """
+    splits, cores = texts.rdd.getNumPartitions(), texts.sparkSession.sparkContext.defaultParallelism
+    texts = texts.coalesce(max(-(-splits // SPLITS), 2 * cores))
     shared = texts.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
