@@ -1,6 +1,6 @@
 """Command-line jobs: ``python -m mercato <command> ...``.
 
-Commands: ``land`` (raw files -> bronze parquet, batch or incremental),
+Commands: ``land`` (raw files -> bronze parquet, batch or incremental), ``compact`` (landed loads -> large files),
 ``quality`` (contract violations in the raw files), ``silver``, ``gold``, ``init-serving`` (typed serving tables), ``serve``
 (load gold into serving tables), ``counts`` (row count per serving table).
 Connection options for JDBC are passed by the caller (``--jdbc key=value``).
@@ -36,6 +36,13 @@ def parser() -> argparse.ArgumentParser:
     land.add_argument("--incremental", action="store_true", help="land only files not landed before")
     land.add_argument("--checkpoint", help="lasting checkpoint folder of --incremental (default: below spark.checkpoint.dir)")
 
+    land.add_argument("--rejects", help="folder for files and rows that cannot land (default: they fail the run)")
+
+    compact = sub.add_parser("compact", help="landed loads of an entity -> a few large files")
+    compact.add_argument("--bronze", required=True)
+    compact.add_argument("--entity", required=True)
+    compact.add_argument("--target-bytes", type=int, default=128 << 20)
+
     silver = sub.add_parser("silver", help="bronze CSV -> silver parquet")
     silver.add_argument("--bronze", required=True)
     silver.add_argument("--silver", required=True)
@@ -43,6 +50,8 @@ def parser() -> argparse.ArgumentParser:
     silver.add_argument("--on-missing", choices=["skip", "error"], default="skip")
     silver.add_argument("--from-landed", action="store_true", help="read landed bronze parquet instead of raw CSV")
 
+    silver.add_argument("--update", action="store_true", help="take in only landed loads that silver does not hold yet")
+
     gold = sub.add_parser("gold", help="silver parquet -> gold parquet")
     gold.add_argument("--silver", required=True)
     gold.add_argument("--gold", required=True)
@@ -53,13 +62,15 @@ def parser() -> argparse.ArgumentParser:
     gold.add_argument("--buckets", type=int, default=0, help="bucket count for --bucket tables")
     gold.add_argument("--table-prefix", default="", help="catalog name prefix for bucketed tables")
 
+    gold.add_argument("--publish", action="store_true", help="write versions and let them count in one step")
+
     init = sub.add_parser("init-serving", help="create typed serving tables if absent")
     init.add_argument("--tables", nargs="*", choices=sorted(SERVING_DDL))
 
     serve = sub.add_parser("serve", help="load written gold tables into serving tables")
     serve.add_argument("--gold", required=True)
     serve.add_argument("--tables", nargs="*", choices=GOLD_TABLES)
-    serve.add_argument("--mode", choices=["replace", "truncate"], default="replace")
+    serve.add_argument("--mode", choices=["replace", "truncate", "publish"], default="replace")
     serve.add_argument("--jdbc", action="append", metavar="KEY=VALUE", help="JDBC writer option (repeatable)")
 
     dq = sub.add_parser("quality", help="contract violations per raw entity (before typing)")
@@ -80,11 +91,23 @@ def main(argv: list[str] | None = None) -> int:
         if args.incremental:
             from mercato.streaming.landing import land_available
 
-            land_available(spark, args.src, args.bronze, args.entity, checkpoint_root=args.checkpoint)
+            land_available(
+                spark, args.src, args.bronze, args.entity, checkpoint_root=args.checkpoint, rejects_root=args.rejects
+            )
         else:
             from mercato.sources.bronze import land_raw
 
-            land_raw(spark, args.src, args.bronze, args.entity)
+            land_raw(spark, args.src, args.bronze, args.entity, rejects_root=args.rejects)
+    elif args.command == "compact":
+        from mercato.sources.bronze import compact_landed
+
+        for load in compact_landed(spark, args.bronze, args.entity, args.target_bytes):
+            print(f"{load}: compacted")
+    elif args.command == "silver" and args.update:
+        from mercato.plans.silver import update_silver
+
+        for name, loads in update_silver(spark, args.bronze, args.silver, args.entities).items():
+            print(f"{name}: {len(loads)} loads")
     elif args.command == "silver":
         from mercato.plans.silver import build_silver
 
@@ -97,7 +120,7 @@ def main(argv: list[str] | None = None) -> int:
 
         written = build_gold(
             spark, args.silver, args.gold, args.tables, how=args.how,
-            bucket_by=_options(args.bucket), buckets=args.buckets, table_prefix=args.table_prefix,
+            bucket_by=_options(args.bucket), buckets=args.buckets, table_prefix=args.table_prefix, publish=args.publish,
         )
         for name, path in written.items():
             print(f"{name}: {path}")

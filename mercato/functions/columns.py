@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,6 +52,29 @@ def resolve_column(df: DataFrame, candidates: Sequence[str], strict: bool = Fals
     return None
 
 
+def conform(df: DataFrame, wanted: Mapping[str, Sequence[str]], numbers: Iterable[str] = ()) -> DataFrame:
+    """Give each wanted column its name: if no column has it, the one that its candidates resolve to
+    (exactly, else by substring) is repeated under it. Text in a column of ``numbers`` is coerced to money.
+
+    What resolves to nothing stays absent; :func:`has_columns` then says so.
+    """
+    present = {c.lower() for c in df.columns}
+    found = {}
+    for name, candidates in wanted.items():
+        column = name if name.lower() in present else resolve_column(df, [name, *candidates])
+        if column is None:
+            continue
+        if name in numbers and df.schema[_spelt(df, column)].dataType.simpleString() == "string":
+            found[name] = F.col(column).try_cast("decimal(18,2)")
+        elif name.lower() not in present:
+            found[name] = F.col(column)
+    return df.withColumns(found) if found else df
+
+
+def _spelt(df: DataFrame, column: str) -> str:
+    return next(c for c in df.columns if c.lower() == column.lower())
+
+
 def has_columns(df: DataFrame, cols: Iterable[str]) -> bool:
     return all(c in df.columns for c in cols)
 

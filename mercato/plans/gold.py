@@ -50,9 +50,12 @@ def order_metrics(order_items: DataFrame) -> DataFrame:
 def fact_orders(orders: DataFrame, order_items: DataFrame, how: str = "left") -> DataFrame:
     """Orders with their metrics. ``left`` keeps orders without items (metrics NULL);
     ``inner`` is the 7-column local form."""
+    return orders_with_metrics(orders, order_metrics(order_items), how)
+
+
+def orders_with_metrics(orders: DataFrame, metrics: DataFrame, how: str = "left") -> DataFrame:
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', got {how!r}")
-    metrics = order_metrics(order_items)
     # one scan of orders; orders without an id keep NULL metrics, and AQE splits their
     # partition if it is large (the left side of a left join may be split)
     joined = orders.join(metrics, on="order_id", how=how)
@@ -115,6 +118,36 @@ def sales_by_seller(order_items: DataFrame) -> DataFrame:
     )
 
 
+def seller_orders(order_items: DataFrame) -> DataFrame:
+    """Per (order, seller): sums and counts that merge into ``order_metrics`` and ``sales_by_seller``."""
+    return order_items.groupBy("order_id", "seller_id").agg(
+        F.sum("price").alias("_value"),
+        F.sum("freight_value").alias("_freight"),
+        F.count("order_item_id").alias("_items"),
+        F.count("order_id").alias("_handled"),
+    )
+
+
+def order_metrics_of(pairs: DataFrame) -> DataFrame:
+    """``order_metrics`` from :func:`seller_orders`."""
+    return pairs.groupBy("order_id").agg(
+        money_sum("_value").alias("total_order_value"),
+        money_sum("_freight").alias("total_freight"),
+        F.sum("_items").alias("item_count"),
+    )
+
+
+def sales_by_seller_of(pairs: DataFrame) -> DataFrame:
+    """``sales_by_seller`` from :func:`seller_orders`; each pair is one order of the seller."""
+    return pairs.groupBy("seller_id").agg(
+        F.sum("_items").alias("items_sold"),
+        F.sum("_handled").alias("orders_handled"),
+        money_sum("_value").alias("seller_revenue"),
+        money_sum("_freight").alias("seller_freight"),
+        F.count("order_id").alias("distinct_orders"),
+    )
+
+
 def category_products(products: DataFrame, translation: DataFrame | None) -> DataFrame:
     cp = products.select("product_id", "product_category_name")
     if translation is not None and "product_category_name_english" in translation.columns:
@@ -161,6 +194,16 @@ def _category_of(per_product: DataFrame, products: DataFrame, translation: DataF
     )
 
 
+def tables_of_states(silver: dict[str, DataFrame], pairs: DataFrame, totals: DataFrame, how: str = "left") -> dict[str, DataFrame]:
+    """The tables that are rolled up from stored partial states (:func:`seller_orders`, :func:`product_totals`)."""
+    return {
+        "fact_orders": orders_with_metrics(silver["orders"], order_metrics_of(pairs), how),
+        "sales_by_product": _product_of(totals),
+        "sales_by_seller": sales_by_seller_of(pairs),
+        "sales_by_category": _category_of(totals, silver["products"], silver.get("category_translation")),
+    }
+
+
 def build_gold_tables(silver: dict[str, DataFrame], how: str = "left") -> dict[str, DataFrame]:
     """All ten gold tables from silver entity frames (lazy)."""
     items = silver["order_items"]

@@ -51,17 +51,53 @@ def orphan_keys(child: DataFrame, parent: DataFrame, keys: Sequence[str], parent
     return per_key.join(parents, list(keys), "left_anti").orderBy(*keys)
 
 
-def orphan_summary(checks: Mapping[str, tuple[DataFrame, DataFrame, Sequence[str], Sequence[str]]]) -> DataFrame:
-    """One row per named reference check: orphan rows and distinct orphan keys."""
-    rows = []
-    for name, (child, parent, keys, parent_keys) in checks.items():
-        per_key = orphan_keys(child, parent, keys, parent_keys)
-        rows.append(per_key.agg(
-            F.lit(name).alias("relation"),
-            F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("orphan_rows"),
-            F.count(F.lit(1)).alias("orphan_keys"),
-        ))
-    return reduce(DataFrame.unionByName, rows)
+@dataclass(frozen=True)
+class Reference:
+    """Child rows must have a key (of ``domain``) that all ``parents`` have; frames with their key columns."""
+
+    domain: str
+    child: tuple[DataFrame, str]
+    parents: tuple[tuple[DataFrame, str], ...]
+
+
+def orphan_summary(checks: Mapping[str, Reference]) -> DataFrame:
+    """One row per named reference check: orphan rows and distinct orphan keys.
+
+    All checks are one grouped aggregate: the keys of every table are united with a
+    bit for the table, and a key's group has the bits of the tables that hold it and
+    its rows in each child. Each table is read once, whatever the number of checks
+    on it, and a key shared by many rows is counted before the only shuffle.
+    """
+    tables: dict[tuple[int, str, str], int] = {}
+    frames: list[DataFrame] = []
+    for check in checks.values():
+        for df, key in (check.child, *check.parents):
+            place = (id(df), key, check.domain)
+            if place not in tables:
+                tables[place] = len(tables)
+                frames.append(df.where(F.col(key).isNotNull()).select(
+                    F.lit(check.domain).alias("domain"), F.col(key).cast("string").alias("key"),
+                    F.lit(tables[place]).alias("table"), F.lit(1 << tables[place]).cast("bigint").alias("bit"),
+                ))
+    children = sorted({tables[id(c.child[0]), c.child[1], c.domain] for c in checks.values()})
+    united = reduce(DataFrame.unionByName, frames)
+    held = united.groupBy("domain", "key").agg(
+        F.bit_or("bit").alias("held"),
+        *(F.count(F.when(F.col("table") == t, 1)).alias(f"rows{t}") for t in children),
+    )
+    sums = []
+    for i, check in enumerate(checks.values()):
+        child = tables[id(check.child[0]), check.child[1], check.domain]
+        bits = sum(1 << tables[id(df), key, check.domain] for df, key in check.parents)
+        orphan = (F.col("domain") == check.domain) & (F.col(f"rows{child}") > 0) & (F.col("held").bitwiseAND(bits) != bits)
+        sums += [F.sum(F.when(orphan, F.col(f"rows{child}"))).alias(f"r{i}"), F.count(F.when(orphan, 1)).alias(f"k{i}")]
+    row = held.agg(*sums)
+    return row.select(F.explode(F.array(*(
+        F.struct(
+            F.lit(name).alias("relation"), F.coalesce(F.col(f"r{i}"), F.lit(0)).cast("bigint").alias("orphan_rows"),
+            F.col(f"k{i}").alias("orphan_keys"),
+        ) for i, name in enumerate(checks)
+    ))).alias("_r")).select("_r.*")
 
 
 @dataclass(frozen=True)
@@ -73,6 +109,7 @@ class Rule:
     length: int | None = None
     precision: int | None = None
     scale: int | None = None
+    also: tuple[str, ...] = ()  # further columns of a key
 
     @property
     def name(self) -> str:
@@ -80,10 +117,11 @@ class Rule:
             return f"varchar({self.length})"
         if self.kind == "numeric":
             return f"numeric({self.precision},{self.scale})"
-        return self.kind
+        return f"unique with {', '.join(self.also)}" if self.also else self.kind
 
 
-def _violations(rule: Rule):
+def violations(rule: Rule):
+    """The number of rows that break the rule, as an aggregate."""
     c = F.col(rule.column)
     if rule.kind == "varchar":
         return F.count(F.when(F.length(c.cast("string")) > rule.length, 1))
@@ -95,6 +133,11 @@ def _violations(rule: Rule):
         return F.count(F.when(c.isNotNull() & c.try_cast("int").isNull(), 1))
     if rule.kind == "not_null":
         return F.count(F.when(c.isNull(), 1))
+    if rule.kind == "unique" and rule.also:
+        # rows with a whole key beyond the first of each
+        key = F.struct(c, *(F.col(a) for a in rule.also))
+        whole = not_null(rule.column, *rule.also)
+        return F.count(F.when(whole, 1)) - F.countDistinct(F.when(whole, key))
     if rule.kind == "unique":
         return F.count(c) - F.countDistinct(c)
     raise ValueError(f"unknown rule kind {rule.kind!r}")
@@ -106,9 +149,9 @@ def schema_enforcement(df: DataFrame, contract: Iterable[Rule]) -> DataFrame:
     A column missing from the frame is reported as one violation of rule ``present``.
     """
     rules = list(contract)
-    present = [r for r in rules if r.column in df.columns]
-    missing = sorted({r.column for r in rules if r.column not in df.columns})
-    aggs = [_violations(r).cast("bigint").alias(f"v{i}") for i, r in enumerate(present)]
+    present = [r for r in rules if {r.column, *r.also} <= set(df.columns)]
+    missing = sorted({c for r in rules for c in (r.column, *r.also) if c not in df.columns})
+    aggs = [violations(r).cast("bigint").alias(f"v{i}") for i, r in enumerate(present)]
     parts = []
     if aggs:
         row = df.agg(*aggs)
@@ -150,7 +193,7 @@ def table_health(spark: SparkSession, expected: Sequence[str], database: str | N
 
 def entity_rules(entity) -> list[Rule]:
     """Contract rules for a raw entity: parseable timestamps, money and integers,
-    and a non-NULL, unique key (single-column keys)."""
+    and a non-NULL, unique key (of one or more columns)."""
     rules = [Rule(c, "timestamp") for c in entity.timestamps]
     rules += [Rule(c, "numeric", precision=18, scale=2) for c in entity.money]
     rules += [Rule(c, "int") for c in entity.integers]
@@ -158,6 +201,8 @@ def entity_rules(entity) -> list[Rule]:
         rules.append(Rule(k, "not_null"))
     if len(entity.keys) == 1:
         rules.append(Rule(entity.keys[0], "unique"))
+    elif entity.keys:
+        rules.append(Rule(entity.keys[0], "unique", also=entity.keys[1:]))
     return rules
 
 

@@ -101,14 +101,17 @@ def _to_datetime(m: Model) -> DataFrame:
 
 
 def _orphans(m: Model) -> DataFrame:
+    # fact_orders has the orders' ids, and an order has items if the items have its id
+    items, orders = m.fact_order_items, m.orders
+    R = quality.Reference
     return quality.orphan_summary({
-        "order_items.order_id -> orders": (m.fact_order_items, m.fact_orders, ["order_id"], ["order_id"]),
-        "order_items.product_id -> products": (m.fact_order_items, m.dim_products, ["product_id"], ["product_id"]),
-        "order_items.seller_id -> sellers": (m.fact_order_items, m.dim_sellers, ["seller_id"], ["seller_id"]),
-        "orders.customer_id -> customers": (m.fact_orders, m.dim_customers, ["customer_id"], ["customer_id"]),
-        "payments.order_id -> orders": (m.fact_payments, m.fact_orders, ["order_id"], ["order_id"]),
-        "reviews.order_id -> orders with items": (
-            m.fact_reviews, m.fact_orders_inner, ["order_id"], ["order_id"]),
+        "order_items.order_id -> orders": R("order", (items, "order_id"), ((orders, "order_id"),)),
+        "order_items.product_id -> products": R("product", (items, "product_id"), ((m.dim_products, "product_id"),)),
+        "order_items.seller_id -> sellers": R("seller", (items, "seller_id"), ((m.dim_sellers, "seller_id"),)),
+        "orders.customer_id -> customers": R("customer", (orders, "customer_id"), ((m.dim_customers, "customer_id"),)),
+        "payments.order_id -> orders": R("order", (m.fact_payments, "order_id"), ((orders, "order_id"),)),
+        "reviews.order_id -> orders with items": R(
+            "order", (m.fact_reviews, "order_id"), ((orders, "order_id"), (items, "order_id"))),
     })
 
 

@@ -7,11 +7,13 @@ and no chunked inserts from one process).
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from mercato.operators.gate import Gate
 from mercato.plans.gold import GOLD_TABLES
 
 log = logging.getLogger(__name__)
@@ -54,6 +56,36 @@ def write_serving(
         df.write.mode("overwrite").format("parquet").saveAsTable(table)
 
 
+def table_location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
+def publish_table(df: DataFrame, table: str, gate: Gate | None = None) -> int:
+    """Write ``df`` beside a serving table, then let the table lie there; returns its rows.
+
+    The gate's counters are taken during the write. If one is not zero, or the
+    write fails, the table keeps its rows. A table with the same columns changes by
+    one catalog operation, its location. One with others is dropped and made again
+    over the new files, two operations without any data in them. Old versions
+    stay for readers that have begun.
+    """
+    spark = df.sparkSession
+    exists = spark.catalog.tableExists(table)
+    base = table_location(spark, table).rstrip("/") if exists else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{table}"
+    path = f"{base.split('.v-')[0]}.v-{uuid.uuid4().hex}"
+    rows, counted = (gate or Gate()).observed(df)
+    rows.write.parquet(path)
+    n = (gate or Gate()).check(table, counted)
+    if exists and [(f.name, f.dataType) for f in spark.table(table).schema] == [(f.name, f.dataType) for f in df.schema]:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.catalog.createTable(table, path=path, source="parquet", schema=df.schema)
+    spark.catalog.refreshTable(table)
+    return n
+
+
 def read_serving(
     spark: SparkSession,
     name: str,
@@ -62,17 +94,27 @@ def read_serving(
     partition_column: str | None = None,
     bounds: tuple[int, int] | None = None,
     num_partitions: int = JDBC_MAX_CONNECTIONS,
+    predicates: Sequence[str] | None = None,
+    single: bool = False,
 ) -> DataFrame:
     """A serving table, only if it is one of the allowed names.
 
     From the catalog by default; over JDBC when options are given. A JDBC read
     with ``partition_column`` and ``bounds`` is split into ``num_partitions``
-    range queries instead of one connection reading the whole table.
+    range queries, one with ``predicates`` (conditions that divide the rows, for
+    example by a hash of the key in the database's own SQL) into one query for each.
+    Without either it would be one task over one connection, so the caller has to
+    say that (``single``).
     """
     if name not in allowed:
         raise ValueError(f"table {name!r} is not a serving table")
     if jdbc_options is None:
         return spark.table(name)
+    if partition_column is None and predicates is None and not single:
+        raise ValueError(f"reading {name!r} over JDBC needs partition_column and bounds, or predicates, or single=True")
+    if predicates is not None:
+        options = {k: v for k, v in jdbc_options.items() if k != "url"}
+        return spark.read.jdbc(jdbc_options["url"], name, predicates=list(predicates), properties=options)
     reader = spark.read.format("jdbc").options(**{**jdbc_options, "dbtable": name})
     if partition_column is not None and bounds is not None:
         reader = reader.options(

@@ -7,10 +7,16 @@ micro-batch is written to its own ``_load=stream-<checkpoint id>-<batch>`` direc
 arrived and stops, so the same job runs on a schedule or continuously. Batch
 landings (``land_raw``) write ``_load=batch-...`` directories in the same folder.
 
+The stream carries the names of the files; each micro-batch routes its files by
+their headers (:mod:`mercato.sources.intake`). Entities without a contract have a
+schema that grows by name and is kept beside the checkpoint, so files with old and
+new headers land in any order. With ``rejects_root`` files and rows that cannot
+land go to a reject table and the stream goes on; without it a file whose header
+does not fit fails its batch, and nothing of the batch lands.
+
 The checkpoint is named by the caller, or lies below ``spark.checkpoint.dir`` itself
 (not the folder that Spark makes anew below it for every application), one for each
-landing folder, bronze root and entity. A file whose header differs from the schema
-fails its batch, so columns never land under another name.
+landing folder, bronze root and entity.
 """
 
 from __future__ import annotations
@@ -20,21 +26,15 @@ import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from mercato.contracts import ENTITIES
-from mercato.sources.bronze import csv_options, is_missing, write_landed
-
+from mercato.sources.bronze import is_missing
+from mercato.sources.intake import SchemaRegistry, land_files
 
-def text_schema(spark: SparkSession, landing_dir: str, entity: str) -> T.StructType:
-    """All-text schema: the contract's columns, else the header of the files present."""
-    e = ENTITIES.get(entity)
-    if e is not None and e.schema is not None:
-        return e.schema
-    header = spark.read.options(**csv_options()).csv(landing_dir).columns
-    return T.StructType([T.StructField(c, T.StringType(), True) for c in header])
+# Fixed value: files of a micro-batch, whose names and headers the driver holds.
+FILES_PER_BATCH = 1000
+# Fixed value: the columns of Spark's source of whole files; only the path is read.
+FILE_COLUMNS = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def checkpoint_path(spark: SparkSession, root: str | None, landing_dir: str, bronze_root: str, entity: str) -> str:
@@ -67,32 +67,26 @@ def start_landing(
     entity: str,
     checkpoint_root: str | None = None,
     available_now: bool = True,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = FILES_PER_BATCH,
     trigger_interval: str = "1 minute",
+    rejects_root: str | None = None,
 ) -> StreamingQuery:
     """Start the landing stream for one entity and return the running query."""
-    e = ENTITIES.get(entity)
-    reader = spark.readStream.schema(text_schema(spark, landing_dir, entity)).options(
-        **csv_options(bool(e and e.multiline))
-    )
+    reader = spark.readStream.format("binaryFile").schema(FILE_COLUMNS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.csv(landing_dir)
-    landed = raw.select(
-        "*", F.col("_metadata.file_path").alias("_source_file"), F.current_timestamp().alias("_loaded_at")
-    )
+    names = reader.load(landing_dir).select("path")
     ckpt = checkpoint_path(spark, checkpoint_root, landing_dir, bronze_root, entity)
     name = checkpoint_id(spark, ckpt)
+    registry = SchemaRegistry(spark, f"{ckpt}/schema")
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # a retried micro-batch covers the same files and overwrites its own directory
-        write_landed(batch, bronze_root, entity, f"stream-{name}-{batch_id:012d}")
+    def land_batch(batch: DataFrame, batch_id: int) -> None:
+        # a retried micro-batch covers the same files and overwrites its own directories
+        paths = [r["path"] for r in batch.collect()]
+        load = f"stream-{name}-{batch_id:012d}"
+        land_files(spark, paths, bronze_root, entity, load, registry, rejects_root, version=batch_id)
 
-    writer = (
-        landed.writeStream.foreachBatch(write_batch)
-        .option("checkpointLocation", ckpt)
-        .queryName(f"landing_{entity}")
-    )
+    writer = names.writeStream.foreachBatch(land_batch).option("checkpointLocation", ckpt).queryName(f"landing_{entity}")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger_interval)
     return writer.start()
 

@@ -77,3 +77,53 @@ def test_lookup_join_follows_the_session_threshold(spark):
 def test_orders_are_scanned_once(spark):
     plan = QUERIES["fact_orders"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("orders.parquet") <= plan.count("lineitem.parquet")
+
+
+RENAMED = {
+    "fact_orders": {"total_order_value": "my_total_order_value", "order_status": "Status", "total_freight": "sum_freight_value"},
+    "dim_customers": {"customer_city": "home_city", "customer_state": "home_state"},
+    "fact_order_items": {"price": "net_product_price"},
+    "fact_payments": {"payment_value": "amount", "payment_type": "pay_method", "payment_installments": "n_installments"},
+    "fact_reviews": {"review_score": "star_rating", "review_comment_message": "the_comment_message", "review_comment_title": "headline"},
+    "sales_by_product": {"units_sold": "all_units_sold", "product_revenue": "total_product_revenue"},
+    "sales_by_seller": {"seller_revenue": "yearly_sales", "items_sold": "n_items_sold"},
+    "dim_sellers": {"seller_city": "town_city", "seller_state": "home_state"},
+    "dim_products": {"product_category_name_english": "shop_category_name_english", "product_category_name": "raw"},
+}
+
+
+@pytest.fixture(scope="module")
+def renamed(gold):
+    return {n: df.withColumnsRenamed(RENAMED.get(n, {})) for n, df in gold.items()}
+
+
+@pytest.mark.parametrize("page", list(PAGES))
+def test_renamed_columns_resolve_by_substring(gold, renamed, page):
+    usual, other = PAGES[page](gold), PAGES[page](renamed)
+    assert set(usual) == set(other)
+    for name in sorted(usual)[:4]:
+        assert sorted(map(str, other[name].collect())) == sorted(map(str, usual[name].collect())), name
+
+
+@pytest.mark.parametrize("page, table, column, left", [
+    ("customer", "fact_orders", "total_order_value", {"customers_by_city"}),
+    ("payment", "fact_payments", "payment_installments", {"payment_value_by_type", "payment_usage_by_type"}),
+    ("review", "fact_reviews", "review_score", set()),
+    ("delivery", "fact_orders", "total_freight", {"order_status", "delivery_performance", "delivery_by_location"}),
+    ("seller", "sales_by_seller", "seller_revenue", {"top_sellers_by_items", "seller_performance", "seller_order_volume"}),
+    ("executive", "fact_orders", "order_purchase_timestamp",
+     {"kpis", "kpi_cards", "item_order_consistency", "order_status", "business_insights"}),
+])
+def test_unresolved_columns_leave_the_rest_of_the_page(gold, page, table, column, left):
+    out = PAGES[page]({**gold, table: gold[table].drop(column)})
+    assert set(out) == left
+    for df in out.values():
+        df.collect()
+
+
+def test_numbers_that_come_as_text(gold):
+    from pyspark.sql import functions as F
+
+    payments = gold["fact_payments"].withColumn("payment_value", F.col("payment_value").cast("string"))
+    a = PAGES["payment"]({"fact_payments": payments})["payment_value_by_type"].collect()
+    assert a == PAGES["payment"](gold)["payment_value_by_type"].collect()
