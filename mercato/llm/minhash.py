@@ -31,9 +31,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StructField
 
 from .common import bounded_batches, free_names, quoted, slices, staged, texts_of
 
@@ -364,18 +365,37 @@ def report(docs: DataFrame) -> DataFrame:
     return resolve(docs).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def row_key(docs: DataFrame) -> Column:
+    """A 128-bit digest of all columns; maps and what holds them are digested as JSON."""
+    def plain(field: StructField) -> Column:
+        column = F.col(quoted(field.name))
+        return F.to_json(F.struct(column)) if "map<" in field.dataType.simpleString() else column
+
+    columns = [plain(f) for f in docs.schema.fields]
+    halves = F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns[::-1])
+    return F.concat(*(F.unhex(F.lpad(F.hex(h), 16, "0")) for h in halves))
+
+
 def filtered(docs: DataFrame) -> DataFrame:
     """Exactly one row of each component, with all columns: the one with the smallest id.
 
-    Rows are known by their id and a digest of all columns, so repeated ids keep
-    their own texts apart, rows without an id come behind those with one, and of
-    identical rows one stays. Columns that Spark cannot hash (maps) may not come in.
+    Rows are known by a digest of all their columns, so repeated ids keep their own
+    texts apart, rows without an id come behind those with one, and of identical
+    rows one stays. Only digests and ids are grouped; whole rows are shuffled once,
+    to take the chosen ones, and rows that are identical once more.
     """
-    (name,) = free_names(docs.columns, "_key")
+    key, found = free_names(docs.columns, "_key", "_found")
     columns = [quoted(c) for c in docs.columns]
-    # two digests, over the columns and over the columns backwards
-    tie = F.concat_ws("-", F.xxhash64(*columns), F.xxhash64(*columns[::-1], F.lit(1)))
-    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), tie.alias("tie"))
-    rows = docs.withColumn(name, key).dropDuplicates([name])
-    kept = report(rows.select(F.col(name).alias("doc_id"), "text")).where("kept").select(F.col("doc_id").alias("_kept_id"))
-    return rows.join(kept, rows[name] == kept["_kept_id"], "left_semi").select(*columns)
+    keyed_rows = docs.withColumn(key, row_key(docs))
+    narrow = keyed_rows.select(F.col(key).alias("doc_id"), F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id")).alias("place"))
+    narrow = staged(narrow.groupBy("doc_id").agg(F.min("place").alias("place"), F.count("*").alias("copies")), "rows")
+    member = resolve(keyed_rows.select(F.col(key).alias("doc_id"), "text")).select("doc_id", "component_id").distinct()
+    chosen = member.join(narrow, "doc_id").groupBy("component_id").agg(
+        F.min(F.struct("place", F.col("doc_id").alias("key"), "copies")).alias("first")
+    )
+    chosen = staged(chosen.select(F.col("first.key").alias(found), F.col("first.copies").alias("_copies")), "chosen")
+    kept = [
+        keyed_rows.join(chosen.where(c).select(found), keyed_rows[key] == F.col(found), "left_semi")
+        for c in ("_copies = 1", "_copies > 1")
+    ]
+    return kept[0].select(*columns).unionByName(kept[1].dropDuplicates([key]).select(*columns))
