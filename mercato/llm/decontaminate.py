@@ -16,7 +16,6 @@ one item: any of their windows counts.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -97,19 +96,25 @@ def build_index(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        # rows are numbered as they are written, so equal rows have different numbers
+        first = TaskContext.get().partitionId() << 40
         for batch in merged_slices(batches, "text", SEGMENT_BYTES):
             ids, sizes, terms, lengths, steps = segment_of(batch.column("doc_id"), texts_of(batch))
             whole = pa.array([0, len(ids)], pa.int32())
+            first += len(ids)
             yield pa.RecordBatch.from_arrays(
                 [
+                    pa.array([first - len(ids)], pa.int64()),
                     pa.ListArray.from_arrays(whole, ids),
                     pa.ListArray.from_arrays(whole, pa.array(sizes)),
                     *(pa.array([x], pa.binary()) for x in (terms, lengths, steps)),
                 ],
-                names=["doc_ids", "sizes", "terms", "lengths", "steps"],
+                names=["first", "doc_ids", "sizes", "terms", "lengths", "steps"],
             )
 
-    schema = f"doc_ids array<{kind}>, sizes array<bigint>, terms binary, lengths binary, steps binary"
+    schema = f"first bigint, doc_ids array<{kind}>, sizes array<bigint>, terms binary, lengths binary, steps binary"
     return staged(docs.select("doc_id", "text").mapInArrow(run, schema), "postings")
 
 
@@ -182,10 +187,11 @@ def _search(row: dict, items: list[tuple[int, list[list[bytes]]]], slop: int) ->
 
 
 def search(index: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = 0) -> DataFrame:
-    """``doc_id, seq, n_words, hit array<int>, items array<string>`` for every document of ``index``.
+    """``doc_id, seq, n_words, hit array<int>, items array<string>, unnamed`` for every document of ``index``.
 
-    ``hit``: numbers of the words inside matches; ``seq`` tells rows of one
-    doc_id apart. ``slop`` 0 finds exact phrases, more finds windows whose words stand at
+    ``hit``: numbers of the words inside matches; ``seq`` is the row's number in the
+    index. Items without an id are searched like others; ``unnamed`` says whether one
+    was found, as ``items`` cannot. ``slop`` 0 finds exact phrases, more finds windows whose words stand at
     most so many words off. Matches of a benchmark larger than ``QUERY_BYTES``
     are found pass by pass and merged by document.
     """
@@ -193,10 +199,9 @@ def search(index: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: i
     bounded_batches(spark)
     kind = index.schema["doc_ids"].dataType.elementType.simpleString()
     bench = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    bench = bench.where("item_id is not null")
     total = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     passes = max(1, -(-total // QUERY_BYTES))
-    schema = f"doc_id {kind}, seq bigint, n_words bigint, hit array<int>, items array<string>"
+    schema = f"doc_id {kind}, seq bigint, n_words bigint, hit array<int>, items array<string>, unnamed boolean"
 
     def matcher(shared, report_all: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,20 +212,22 @@ def search(index: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: i
                     hits = {d: (covered, owners) for d, covered, owners in _search(row, items, slop)}
                     docs = range(len(row["sizes"])) if report_all else sorted(hits)
                     none = (np.zeros(0, np.int64), np.zeros(0, np.int64))
-                    cols = {"doc_id": [], "seq": [], "n_words": [], "hit": [], "items": []}
-                    key = int.from_bytes(hashlib.sha256(row["terms"] + repr(row["doc_ids"]).encode()).digest()[:5], "big")
+                    cols = {"doc_id": [], "seq": [], "n_words": [], "hit": [], "items": [], "unnamed": []}
                     for d in docs:
                         covered, owners = hits.get(d, none)
                         cols["doc_id"].append(row["doc_ids"][d])
-                        cols["seq"].append((key << 23) + d)
+                        cols["seq"].append(row["first"] + d)
                         cols["n_words"].append(row["sizes"][d])
                         cols["hit"].append(covered.tolist())
-                        cols["items"].append(sorted({names[i] for i in owners.tolist()}))
+                        found = {names[i] for i in owners.tolist()}
+                        cols["items"].append(sorted(found - {None}))
+                        cols["unnamed"].append(None in found)
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(cols["doc_id"], batch.schema.field("doc_ids").type.value_type),
                             pa.array(cols["seq"], pa.int64()), pa.array(cols["n_words"], pa.int64()),
                             pa.array(cols["hit"], pa.list_(pa.int32())), pa.array(cols["items"], pa.list_(pa.string())),
+                            pa.array(cols["unnamed"], pa.bool_()),
                         ],
                         names=list(cols),
                     )
@@ -238,18 +245,21 @@ def search(index: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: i
             F.max("n_words").alias("n_words"),
             F.array_distinct(F.flatten(F.collect_list("hit"))).alias("hit"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+            F.max("unnamed").alias("unnamed"),
         )
     return found
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` for each row of ``docs``."""
+    """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` for each row of ``docs``.
+
+    Items without an id count as one item and have no place in the list of ids."""
     found = search(build_index(docs), benchmark)
     return found.select(
         "doc_id",
         "n_words",
         F.size("hit").cast("long").alias("n_hit"),
-        F.size("items").cast("long").alias("n_items"),
+        (F.size("items") + F.col("unnamed").cast("int")).cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.size("hit") > 0).alias("contaminated"),
     )
