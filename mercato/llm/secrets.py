@@ -92,6 +92,10 @@ def needed_bits(digits: int, letters: int, wordy: int, hexes: int, small: int, c
     return ONE_CASE_BITS if digits and small in (0, letters) else ALNUM_BITS
 
 
+#: Windows that are looked at together, so that memory does not grow with a candidate.
+BLOCK = 1 << 15
+
+
 def is_random(s: str) -> bool:
     """Whether some window of a candidate looks random for its kind of characters and touches no placeholder."""
     n = len(s)
@@ -99,6 +103,11 @@ def is_random(s: str) -> bool:
     for marks, pattern in ((wordy, WORD), (allowed, ALLOWED)):
         for m in pattern.finditer(s):
             marks[m.start() : m.end()] = b"\1" * (m.end() - m.start())
+    starts = range(0, max(1, n - WINDOW + 1), BLOCK)
+    return any(_random_block(*(x[a : a + BLOCK + WINDOW - 1] for x in (s, wordy, allowed))) for a in starts)
+
+
+def _random_block(s: str, wordy: bytearray, allowed: bytearray) -> bool:
     digits, letters = [c.isdigit() for c in s], [c.isalpha() for c in s]
     # changes between letters and digits, and capitals after small letters, inside a window: not at its first character
     changes = [0, *(a + b == 1 == x + y for a, b, x, y in zip(digits, digits[1:], letters, letters[1:]))]
