@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import bounded_batches, slices, texts_of
 
@@ -366,6 +367,11 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
 
 def encode_texts(texts: list[str], pre: PreTokenizer, ids_of: PieceIds) -> tuple[np.ndarray, ...]:
     """Ids of all texts, where each text's ids begin, piece starts (code points), where each text's pieces begin."""
+    return encode_pieces(texts, pre, ids_of)[:4]
+
+
+def encode_pieces(texts: list[str], pre: PreTokenizer, ids_of: PieceIds) -> tuple[np.ndarray, ...]:
+    """As :func:`encode_texts`, and the number of ids of each piece."""
     joined = "".join(texts)
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
     raw = joined.encode("utf-8", "surrogatepass")
@@ -374,7 +380,7 @@ def encode_texts(texts: list[str], pre: PreTokenizer, ids_of: PieceIds) -> tuple
     text_ends = np.concatenate([[0], np.cumsum(lengths)])
     heads = np.searchsorted(starts, text_ends)
     if not len(starts):
-        return np.zeros(0, "<i4"), heads, starts, heads
+        return np.zeros(0, "<i4"), heads, starts, heads, np.zeros(0, np.int64)
     if len(raw) == len(joined):
         at = np.append(starts, len(raw))
     else:
@@ -392,14 +398,15 @@ def encode_texts(texts: list[str], pre: PreTokenizer, ids_of: PieceIds) -> tuple
     upto = np.concatenate([[0], np.cumsum(counts)])
     begin = np.cumsum(sizes) - sizes
     ids = flat[np.repeat(begin[which] - upto[:-1], counts) + np.arange(upto[-1])]
-    return ids, upto[heads], starts, heads
+    return ids, upto[heads], starts, heads, counts
 
 
 def encode(docs: DataFrame, ranks_path: str, with_offsets: bool = True) -> DataFrame:
-    """``doc_id, ids array<int>, offsets array<int>`` for each row of ``docs``.
+    """``doc_id, ids array<int>, offsets array<int>, counts array<int>`` for each row of ``docs``.
 
-    ``offsets`` has the code point at which each piece starts; ids of a piece
-    never cross them, so that ranges of a text can be decoded alone. The ranks
+    ``offsets`` has the code point at which each piece starts and ``counts`` the
+    number of its ids; ids never cross pieces, so that a range of a text can be
+    decoded alone (:func:`decode_range`). The ranks
     (a few hundred kB, bounded by the vocabulary) and the class table (1.1 MB)
     are broadcast.
     """
@@ -413,7 +420,7 @@ def encode(docs: DataFrame, ranks_path: str, with_offsets: bool = True) -> DataF
         ids_of = PieceIds(merger(read_ranks(data)))
         pre = PreTokenizer(np.frombuffer(classes, np.uint8))
         for batch in slices(batches, "text", 2 << 20):
-            ids, upto, starts, heads = encode_texts(texts_of(batch), pre, ids_of)
+            ids, upto, starts, heads, counts = encode_pieces(texts_of(batch), pre, ids_of)
             columns = [
                 batch.column("doc_id"),
                 pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(ids)),
@@ -421,14 +428,39 @@ def encode(docs: DataFrame, ranks_path: str, with_offsets: bool = True) -> DataF
             if with_offsets:
                 base = np.append(starts, 0)[heads[:-1]]
                 local = starts - np.repeat(base, np.diff(heads))
-                columns.append(pa.ListArray.from_arrays(pa.array(heads, pa.int32()), pa.array(local, pa.int32())))
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "offsets"][: len(columns)])
+                for values in (local, counts):
+                    columns.append(pa.ListArray.from_arrays(pa.array(heads, pa.int32()), pa.array(values, pa.int32())))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "offsets", "counts"][: len(columns)])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, ids array<int>" + ", offsets array<int>" * with_offsets
+    schema = f"doc_id {kind}, ids array<int>" + ", offsets array<int>, counts array<int>" * with_offsets
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
+def in_range(encoded: DataFrame, start: int, end: int) -> DataFrame:
+    """Rows of :func:`encode` with the ids of the pieces that meet code points ``start`` to ``end`` (exclusive) only.
+
+    ``offsets`` and ``counts`` shrink with them: the first offset says where the
+    decoded text begins. No other id is looked at, and nothing is encoded again.
+    """
+    n = F.size("offsets")
+    # pieces that begin before the end, less those that are over at the start
+    upto = F.size(F.filter("offsets", lambda o: o < end))
+    skip = F.greatest(F.size(F.filter("offsets", lambda o: o <= start)) - 1, F.lit(0))
+    none = (F.lit(end) <= start) | (n == 0) | (upto <= skip)
+    first, pieces = F.when(none, 0).otherwise(skip), F.when(none, 0).otherwise(upto - skip)
+
+    def total(counts):
+        return F.aggregate(counts, F.lit(0), lambda a, c: a + c)
+
+    kept = F.slice("counts", first + 1, pieces)
+    return encoded.select(
+        "doc_id",
+        F.slice("ids", total(F.slice("counts", F.lit(1), first)) + 1, total(kept)).alias("ids"),
+        F.slice("offsets", first + 1, pieces).alias("offsets"), kept.alias("counts"),
+    )
+
+
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """``doc_id, n_tokens, ids, decoded binary`` from rows with ids; null ids count as none."""
     spark = encoded.sparkSession
