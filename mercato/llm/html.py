@@ -1,21 +1,33 @@
 """Main text of web pages by templates deduced from pages of one host.
 
-Tokens are tags with the path of elements they stand under, and text nodes
-under their path. For each host, tokens that occur equally often on every page
-(equal occurrence vectors, compared by an order-free digest over the pages)
-form an equivalence class. A class that covers most of the host's pages, occurs
-once on each and has several tokens is valid; valid classes nest, as the paths
-of their tokens do, and together are the host's template. What lies between
-template tokens are slots. Slots inside navigation, headers, footers, notices
-and the like are no content; template text is none either, unless it stands in
-the article itself, where a repeated sentence is still the author's. The rest
-is decoded, and white space and blocks are normalised.
+Tokens are elements, known by the path of elements they stand under, and text
+nodes under their path. For each host, tokens that occur equally often on every
+page (equal occurrence vectors, compared by an order-free digest over the
+different pages) form an equivalence class. A class that covers most of the
+host's pages and has several tokens is valid. The elements of valid classes nest
+as their paths do and make up the host's template; its constant texts belong to
+the elements they stand in. What is left between them are slots.
+
+The text of a slot is what differs from page to page. From the root of the
+template the main element is reached by going down, as long as one element that
+stands once on each page holds most of the text of the slots inside the one
+before; an article, and an element beside whose text a headline would be lost,
+is not left. A page's text is what the slots of the main element hold. Constant
+text in an article stays, as a repeated sentence is still the author's; in other
+elements it is template. Parts inside that say they are menus, adverts, notices,
+forms or comments are no slots of the article.
+
+Hosts with too few different pages have no template, and pages without the main
+element have another. There the article is taken by its tag if it holds at least
+half of the text that is not in menus and the like, else all of that text.
 
 The pages of a host are never brought together: tasks emit digests of their
-pages' tokens, pre-aggregated, and a host's template is a short list of token
-digests that joins the pages by host. Null html counts as empty text; a null
-url, or one without host, makes a host of its own. Rows that repeat are
-extracted each.
+pages' tokens, pre-aggregated; a host's tokens that stand on most of its pages
+are as many as those of a page; and a template is a short list that joins the
+pages by host. Null html counts as empty text; urls that are null or without
+host share one host. Pages that repeat count once in the template and are
+extracted each. Ties between elements go to the first of the page. An empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,6 +36,7 @@ import html as entities
 import re
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -31,39 +44,47 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, slices, staged
 
-#: A valid class stands on at least so many pages, and on this share of the host's.
+#: A valid class stands on at least so many different pages, and on this share of the host's.
 LEAST_PAGES, LEAST_SHARE = 3, 0.8
 #: Tokens of a valid class.
 LEAST_TOKENS = 2
+#: Share of the slots' text that leads down the template, and that makes an article the main part of a page without one.
+MAIN_SHARE, ARTICLE_SHARE = 0.6, 0.5
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|iframe|svg|select)\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*>?"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/<>]*)([^<>]*)>",
-    re.S | re.I,
-)
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*)")
+ATTRIBUTES = re.compile(r"((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+#: Attributes behind a quote that is never closed.
+PLAIN = re.compile(r"([^<>]*+)>")
+RAW = {t: re.compile(rf"</{t}\s*>", re.I) for t in "script style noscript template textarea iframe svg select".split()}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody tfoot thead tr ul".split()
 )
+HEADLINES = frozenset(("h1", "h2", "h3"))
 NOT_CONTENT = frozenset("head title nav header footer aside form button menu dialog object audio video canvas".split())
 CONTENT = frozenset(("article", "main"))
-#: Words of class, id and role that mark an element as no content.
+#: Words of class, id and role that mark an element as no content, alone or as a part of a name.
 MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|advertisement|sponsor\w*|promo\w*|banner|nav|navbar|navigation|menu|breadcrumbs?|"
-    r"header|masthead|footer|sidebar|side-bar|aside|widget|notice|notices|cookies?|consent|alert|popup|modal|newsletter|"
-    r"subscribe|login|comments?|comment-list|replies|reply|disqus|share|sharing|social|related|recommended|"
-    r"complementary|contentinfo|search)(?:$|[\s_-])",
+    r"(?:^|[\s_-])(?:ads?|advert\w*|advertisement|sponsor\w*|navbar|navigation|breadcrumbs?|masthead|sidebar|side-bar|"
+    r"cookies?|consent|popup|modal|newsletter|subscribe|login|comments?|replies|disqus|contentinfo)(?:$|[\s_-])",
+    re.I,
+)
+#: Words that do so only as a whole name: parts of names such as related-work or search-results are no marks.
+NAMES = re.compile(
+    r"(?:^|\s)(?:promo|banner|nav|menu|header|footer|aside|widget|notices?|alert|reply|share|sharing|social|related|"
+    r"recommended|complementary|search)(?:$|\s)",
     re.I,
 )
 ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 #: An element of these closes an open one of the same kind, which authors leave open.
 SELF_CLOSING = {"p": "p", "li": "li", "dt": "dt", "dd": "dd", "tr": "tr", "td": "td", "th": "th", "option": "option"}
+#: Open elements that are searched for a paragraph to close.
+NEAR = 100
 WHITE = re.compile(r"\s+")
 
+OPEN, CLOSE, TEXT = 0, 1, 2
+
 
 def attributes(raw: str) -> tuple[str, bool]:
     """Class, id and role as one text, and whether the element is hidden."""
@@ -71,69 +92,136 @@ def attributes(raw: str) -> tuple[str, bool]:
     return " ".join(found[k] for k in ("class", "id", "role") if found.get(k)), "hidden" in found
 
 
+def markup(source: str) -> Iterator[tuple[int, str, str]]:
+    """(kind, tag or text, attributes) in order. Reads a page once, whatever is left open in it."""
+    at, seen, n = 0, 0, len(source)
+    quotes = True  # until a quote is found that nothing closes
+    while (i := source.find("<", seen)) >= 0:
+        follows = source[i + 1 : i + 2]
+        if follows in ("!", "?") and follows:
+            if i > at:
+                yield TEXT, source[at:i], ""
+            comment = source.startswith("<!--", i)
+            end = source.find("-->" if comment else ">", i + 2)
+            at = seen = n if end < 0 else end + (3 if comment else 1)
+            continue
+        m = NAME.match(source, i)
+        rest = m and (ATTRIBUTES if quotes else PLAIN).match(source, m.end())
+        if m and rest is None and quotes:
+            quotes = False
+            rest = PLAIN.match(source, m.end())
+        if not rest:  # a lone sign
+            seen = i + 1
+            continue
+        if i > at:
+            yield TEXT, source[at:i], ""
+        tag = m[2].lower()
+        at = seen = rest.end()
+        if m[1]:
+            yield CLOSE, tag, ""
+        elif tag in RAW:
+            end = RAW[tag].search(source, at)
+            at = seen = end.end() if end else n
+        else:
+            yield OPEN, tag, rest[1]
+    if at < n:
+        yield TEXT, source[at:], ""
+
+
+def digest(path: int, name: str) -> int:
+    """A child's path from its parent's, or a text's token."""
+    return xxhash.xxh3_64_intdigest(name.encode("utf-8", "surrogatepass"), path) >> 1
+
+
 class Page:
-    """The nodes of a page: (path, is text, content, text, inside article, in a part that is no content)."""
+    """The elements and texts of a page, each with the digest of its path.
+
+    ``nodes``: (kind, path, tag or text, inside an article, in a part that is no content).
+    """
 
     def __init__(self, source: str | None):
-        self.nodes: list[tuple[str, bool, str, bool, bool]] = []
-        self.article = False
-        stack: list[tuple[str, str, bool, bool]] = []  # tag, path, inside article, no content
-        at, source = 0, source or ""
-        for m in TOKEN.finditer(source):
-            if m.start() > at:
-                self._text(stack, source[at : m.start()])
-            at = m.end()
-            tag = (m[3] or m[6] or "").lower()
-            if not tag:
-                continue
-            if m[2] or m[5]:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == tag:
-                        self._tag(stack[i][1], "/", tag, stack[i][2], stack[i][3])
-                        del stack[i:]
-                        break
-                else:
-                    if tag in BLOCKS and stack:
-                        self._tag(stack[-1][1], "/", tag, stack[-1][2], stack[-1][3])
-                continue
-            if tag in SELF_CLOSING and stack and stack[-1][0] == tag:
-                stack.pop()
-            elif tag in BLOCKS:
-                while stack and stack[-1][0] == "p":
-                    stack.pop()
-            name, hidden = attributes(m[4] or m[7] or "")
-            _, path, inside, out = stack[-1] if stack else ("", "", False, False)
-            path = f"{path}/{tag}.{name}" if name else f"{path}/{tag}"
-            out = out or hidden or tag in NOT_CONTENT or bool(name and MARKS.search(name) and tag not in ("body", "html"))
-            inside = inside or (tag in CONTENT and not out) or bool(name and "main" in name.lower().split() and not out)
-            self.article |= inside
-            self._tag(path, "", tag, inside, out)
-            if tag not in VOID:
-                stack.append((tag, path, inside, out))
-        if at < len(source):
-            self._text(stack, source[at:])
-
-    def _tag(self, path: str, close: str, tag: str, inside: bool, out: bool) -> None:
-        self.nodes.append((f"{close}{path}", False, tag, inside, out))
-
-    def _text(self, stack: list, raw: str) -> None:
-        if raw:
-            _, path, inside, out = stack[-1] if stack else ("", "", False, False)
-            self.nodes.append((path, True, raw, inside, out))
-
-    def tokens(self) -> dict[int, int]:
-        """How often each token occurs, by its digest."""
-        counts: dict[str, int] = {}
-        for path, is_text, value, _, _ in self.nodes:
-            if not is_text:
-                counts[path] = counts.get(path, 0) + 1
-            elif not value.isspace():
-                key = f"{path}\0{value.strip()}"
-                counts[key] = counts.get(key, 0) + 1
-        return {xxhash.xxh3_64_intdigest(k) >> 1: n for k, n in counts.items()}
-
-    def text(self, template: frozenset[int] = frozenset()) -> str:
-        """The text of the content slots: blocks joined by line feeds."""
+        self.nodes: list[tuple[int, int, str, bool, bool]] = []
+        #: tag, path, inside an article, no content, text inside so far
+        stack: list[list] = []
+        opened: dict[str, int] = {}
+        #: path -> [parent's path, tag, how often, text inside]; text token -> [path, "", how often, its length]
+        self.tokens: dict[int, list] = {}
+
+        def close(to: int) -> None:
+            while len(stack) > to:
+                tag, path, inside, out, text = stack.pop()
+                opened[tag] -= 1
+                self.nodes.append((CLOSE, path, tag, inside, out))
+                self.tokens[path][3] += text
+                if stack:
+                    stack[-1][4] += text
+
+        def count(token: int, parent: int, tag: str, text: int) -> None:
+            mine = self.tokens.setdefault(token, [parent, tag, 0, 0])
+            mine[2] += 1
+            mine[3] += text
+
+        for kind, value, raw in markup(source or ""):
+            if kind == TEXT:
+                _, path, inside, out, _ = stack[-1] if stack else ("", 0, False, False, 0)
+                self.nodes.append((TEXT, path, value, inside, out))
+                if not out and not value.isspace():
+                    said = value.strip()
+                    count(digest(path, f"\0{said}"), path, "", len(said))
+                    if stack:
+                        stack[-1][4] += len(said)
+            elif kind == CLOSE:
+                if opened.get(value):
+                    to = len(stack) - 1
+                    while stack[to][0] != value:
+                        to -= 1
+                    close(to)
+                elif value in BLOCKS and stack:
+                    self.nodes.append((CLOSE, 0, value, stack[-1][2], stack[-1][3]))
+            else:
+                if value in SELF_CLOSING and stack and stack[-1][0] == value:
+                    close(len(stack) - 1)
+                elif value in BLOCKS and opened.get("p"):
+                    # a block ends an open paragraph, and the inline elements open in it
+                    for to in range(len(stack) - 1, max(len(stack) - NEAR, 0) - 1, -1):
+                        if stack[to][0] == "p":
+                            close(to)
+                            break
+                        if stack[to][0] in BLOCKS:
+                            break
+                name, hidden = attributes(raw)
+                _, parent, inside, out, _ = stack[-1] if stack else ("", 0, False, False, 0)
+                path = digest(parent, f"{value}.{name}" if name else value)
+                marked = bool(name) and value not in ("body", "html") and bool(MARKS.search(name) or NAMES.search(name))
+                out = out or hidden or value in NOT_CONTENT or marked
+                inside = inside or (not out and (value in CONTENT or "main" in name.lower().split()))
+                self.nodes.append((OPEN, path, value, inside, out))
+                count(path, parent, value, 0)
+                if value not in VOID:
+                    stack.append([value, path, inside, out, 0])
+                    opened[value] = opened.get(value, 0) + 1
+        close(0)
+
+    def text(self, main: int | None = None, constants: frozenset[int] = frozenset()) -> str:
+        """The text in the slots of the element ``main``; without it, or where the page has none, the article's."""
+        if main is not None and main in self.tokens:
+            inside = 0
+            chosen = []
+            for node in self.nodes:
+                kind, path, value, _, out = node
+                if path == main and kind == OPEN:
+                    inside += 1
+                if inside and not out:
+                    chosen.append(node)
+                if path == main and kind == CLOSE:
+                    inside -= 1
+            return self._joined(chosen, constants)
+        rest = [x for x in self.nodes if not x[4]]
+        article, whole = (sum(len(x[2].strip()) for x in rest if x[0] == TEXT and (x[3] or every)) for every in (False, True))
+        return self._joined([x for x in rest if x[3]] if article and article >= ARTICLE_SHARE * whole else rest, constants)
+
+    @staticmethod
+    def _joined(nodes: list[tuple[int, int, str, bool, bool]], constants: frozenset[int]) -> str:
         blocks: list[str] = []
         held: list[str] = []
 
@@ -143,15 +231,14 @@ class Page:
                 blocks.append(block)
             held.clear()
 
-        for path, is_text, value, inside, out in self.nodes:
-            if not is_text:
-                if value in BLOCKS:
-                    end()
-                elif value in ("br", "td", "th"):
-                    held.append(" ")
-            elif not out and inside >= self.article:
-                if inside or not template or xxhash.xxh3_64_intdigest(f"{path}\0{value.strip()}") >> 1 not in template:
+        for kind, path, value, _, _ in nodes:
+            if kind == TEXT:
+                if not constants or digest(path, f"\0{value.strip()}") not in constants:
                     held.append(value)
+            elif value in BLOCKS:
+                end()
+            elif value in ("br", "td", "th"):
+                held.append(" ")
         end()
         return "\n".join(blocks)
 
@@ -160,67 +247,121 @@ def _host(pages: DataFrame):
     return F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]*)", 1)), F.lit(""))
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """Staged ``host, tokens``: digests of the tokens of each host's valid classes."""
+TOKENS = "host string, token bigint, parent bigint, tag string, place bigint, pages bigint, once bigint, vector bigint, chars bigint"
+
+
+def occurrences(pages: DataFrame) -> DataFrame:
+    """``TOKENS`` for each host and token, over the different pages of the host."""
     bounded_batches(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "html"):
-            # per host and token: pages, pages where it occurs once, and an order-free digest of (page, count)
-            held: dict[tuple[str, int], list[int]] = {}
-            for host, url, source in zip(*(batch.column(c).to_pylist() for c in ("host", "page", "html"))):
-                for token, n in Page(source).tokens().items():
-                    mine = held.setdefault((host, token), [0, 0, 0])
-                    mine[0] += 1
-                    mine[1] += n == 1
-                    mine[2] ^= xxhash.xxh3_64_intdigest(f"{url}:{n}") >> 1
-            cols = list(zip(*((h, t, *v) for (h, t), v in held.items()))) or [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.string()), *(pa.array(c, pa.int64()) for c in cols[1:])],
-                names=["host", "token", "pages", "once", "vector"],
-            )
+            held: dict[tuple[str, int], list] = {}
+            for host, page, source in zip(*(batch.column(c).to_pylist() for c in ("host", "page", "html"))):
+                for place, (token, (parent, tag, n, chars)) in enumerate(Page(source).tokens.items()):
+                    mine = held.setdefault((host, token), [parent, tag, 0, 0, 0, 0, 0])
+                    mine[2] += place
+                    mine[3] += 1
+                    mine[4] += n == 1
+                    # pages differ, so no two of these cancel each other
+                    mine[5] ^= xxhash.xxh3_64_intdigest(f"{page}:{n}") >> 1
+                    mine[6] += chars
+            cols = list(zip(*((h, t, *v) for (h, t), v in held.items()))) or [()] * 9
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), *[pa.int64()] * 5]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=[c.split()[0] for c in TOKENS.split(", ")])
 
-    rows = pages.select(_host(pages).alias("host"), F.xxhash64("page_id", "url", "html").alias("page"), "html")
-    found = rows.mapInArrow(run, "host string, token bigint, pages bigint, once bigint, vector bigint")
-    tokens = found.groupBy("host", "token").agg(
-        F.sum("pages").alias("pages"), F.sum("once").alias("once"), F.expr("bit_xor(vector)").alias("vector")
-    )
-    sizes = rows.groupBy("host").agg(F.count("*").alias("all"))
-    often = tokens.where(f"pages >= {LEAST_PAGES} and once = pages").join(sizes, "host")
-    often = often.where(F.col("pages") >= LEAST_SHARE * F.col("all"))
-    classes = often.groupBy("host", "vector").agg(F.collect_set("token").alias("tokens"))
-    classes = classes.where(F.size("tokens") >= LEAST_TOKENS)
+    found = different(pages).mapInArrow(run, TOKENS)
+    return found.groupBy("host", "token").agg(
+        F.min("parent").alias("parent"), F.min("tag").alias("tag"), F.sum("place").alias("place"), F.sum("pages").alias("pages"),
+        F.sum("once").alias("once"), F.expr("bit_xor(vector)").alias("vector"), F.sum("chars").alias("chars"),
+    )
+
+
+def different(pages: DataFrame) -> DataFrame:
+    """``host, page, html`` of the different pages of each host; only pages that repeat are shuffled."""
+    digests = F.concat_ws("-", F.xxhash64("html"), F.xxhash64(F.lit(1), "html"))
+    rows = pages.where("html is not null").select(_host(pages).alias("host"), digests.alias("page"), "html")
+    again = staged(rows.groupBy("host", "page").agg(F.count("*").alias("n")).where("n > 1").select("host", "page"), "repeated")
+    once = rows.join(again, ["host", "page"], "left_anti")
+    return once.unionByName(rows.join(again, ["host", "page"], "left_semi").dropDuplicates(["host", "page"]))
+
+
+def deduced(host: pd.DataFrame) -> pd.DataFrame:
+    """``host, main, constants`` of one host, from its tokens that stand on most pages (as many as a page's)."""
+    valid = host.groupby("vector")["token"].transform("size") >= LEAST_TOKENS
+    host = host.assign(valid=valid).sort_values(["place", "token"])
+    elements = {t: (p, tag, once and v, chars) for t, p, tag, once, v, chars in zip(
+        host["token"], host["parent"], host["tag"], host["once"] == host["pages"], host["valid"], host["chars"]) if tag}
+    texts = host[(host["tag"] == "") & host["valid"]]
+    slot = {t: e[3] for t, e in elements.items()}  # text inside that is not constant
+    for parent, chars in zip(texts["parent"], texts["chars"]):
+        while parent in elements:
+            slot[parent] -= chars
+            parent = elements[parent][0]
+    children: dict[int, list[int]] = {}
+    for t, (parent, _, _, _) in elements.items():
+        children.setdefault(parent, []).append(t)
+    main, options = None, children.get(0, [])
+    while options:
+        whole = slot[main] if main is not None else sum(slot[t] for t in options)
+        single = [t for t in options if elements[t][2]]
+        best = max(single, key=slot.get, default=None)
+        if best is None or whole <= 0 or slot[best] < MAIN_SHARE * whole:
+            break
+        if main is not None and any(elements[t][1] in HEADLINES for t in options if t != best):
+            break
+        main, options = best, children.get(best, [])
+        if elements[main][1] in CONTENT:
+            break
+    constants: list[int] = []
+    if main is not None and elements[main][1] not in CONTENT:
+        constants = texts["token"].tolist()
+    return pd.DataFrame({"host": [host["host"].iloc[0]], "main": [main if main is not None else 0], "constants": [constants]})
+
+
+def templates(pages: DataFrame) -> DataFrame:
+    """Staged ``host, main, constants``: the path of each host's main element (0: none) and its template's texts."""
+    tokens = occurrences(pages)
+    # the root of a page stands on every page
+    sizes = _sizes(pages)
+    often = tokens.where(f"pages >= {LEAST_PAGES}").join(sizes, "host").where(F.col("pages") >= LEAST_SHARE * F.col("all"))
     return staged(
-        classes.groupBy("host").agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("tokens")), "templates"
+        often.groupBy("host").applyInPandas(deduced, "host string, main bigint, constants array<bigint>"), "templates"
     )
 
 
+def _sizes(pages: DataFrame) -> DataFrame:
+    """``host, all``: the number of different pages."""
+    rows = pages.where("html is not null").select(_host(pages).alias("host"), F.xxhash64("html").alias("a"), F.xxhash64(F.lit(1), "html").alias("b"))
+    return rows.distinct().groupBy("host").agg(F.count("*").alias("all"))
+
+
 def extract(pages: DataFrame) -> DataFrame:
-    """``page_id, url, text`` for each row of ``pages``."""
+    """``page_id, url, text, by_template`` for each row of ``pages``."""
     known = templates(pages)
     rows = pages.select("page_id", "url", "html", _host(pages).alias("host")).join(known, "host", "left")
     kind = pages.schema["page_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets: dict[str, frozenset[int]] = {}
         for batch in slices(batches, "html"):
-            texts = []
-            for host, source, tokens in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "tokens"))):
-                if host not in sets:
-                    if len(sets) >= 1000:
-                        sets.clear()
-                    sets[host] = frozenset(tokens or ())
-                texts.append(Page(source).text(sets[host]))
+            texts, by = [], []
+            held: tuple[list | None, frozenset[int]] = (None, frozenset())
+            for source, main, constants in zip(*(batch.column(c).to_pylist() for c in ("html", "main", "constants"))):
+                if constants != held[0]:
+                    held = constants, frozenset(constants or ())
+                page = Page(source)
+                by.append(bool(main) and main in page.tokens)
+                texts.append(page.text(main or None, held[1]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
-                names=["page_id", "url", "text"],
+                [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(by, pa.bool_())],
+                names=["page_id", "url", "text", "by_template"],
             )
 
-    return rows.select("page_id", "url", "host", "html", "tokens").mapInArrow(
-        run, f"page_id {kind}, url string, text string"
+    return rows.select("page_id", "url", "html", "main", "constants").mapInArrow(
+        run, f"page_id {kind}, url string, text string, by_template boolean"
     )
 
 
 def report(pages: DataFrame) -> DataFrame:
-    """``page_id, url, text, n_chars`` for each row of ``pages``."""
-    return extract(pages).withColumn("n_chars", F.length("text").cast("long"))
+    """``page_id, url, text, n_chars, by_template`` for each row of ``pages``."""
+    return extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "by_template")
