@@ -246,6 +246,10 @@ class Resharding:
         parts = self.split.groupBy(*BLOCK, "to").agg(F.count("*").alias("rows"))
         self.pieces = staged(offsets(whole.unionByName(parts), "rows", "to", "start"), "pieces")
 
+    def moved_bytes(self) -> int:
+        """Bytes that change their shard by the flow."""
+        return sum(f for i, sent in enumerate(self.flow) for j, f in enumerate(sent) if i != j)
+
     def _split(self, shares: DataFrame) -> DataFrame:
         # one block for each border between flows, each of at most BLOCK_ROWS rows
         crossed = F.broadcast(shares.select(*BLOCK, F.col("to").alias("shards"), F.col("need").alias("needs")))
