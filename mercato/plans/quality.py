@@ -70,13 +70,15 @@ def orphan_summary(checks: Mapping[str, Reference]) -> DataFrame:
     """
     tables: dict[tuple[int, str, str], int] = {}
     frames: list[DataFrame] = []
+    kinds = {df.schema[key].dataType.simpleString() for c in checks.values() for df, key in (c.child, *c.parents)}
+    kind = kinds.pop() if len(kinds) == 1 else "string"
     for check in checks.values():
         for df, key in (check.child, *check.parents):
             place = (id(df), key, check.domain)
             if place not in tables:
                 tables[place] = len(tables)
                 frames.append(df.where(F.col(key).isNotNull()).select(
-                    F.lit(check.domain).alias("domain"), F.col(key).cast("string").alias("key"),
+                    F.lit(check.domain).alias("domain"), F.col(key).cast(kind).alias("key"),
                     F.lit(tables[place]).alias("table"), F.lit(1 << tables[place]).cast("bigint").alias("bit"),
                 ))
     children = sorted({tables[id(c.child[0]), c.child[1], c.domain] for c in checks.values()})
