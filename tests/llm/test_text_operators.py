@@ -177,6 +177,8 @@ def test_quality_keeps_clean_and_handles_odd_rows(spark, odd, empty):
     rows = queries.op5_quality(spark, "/root/testdata/sf0.01").join(table(spark, "/root/testdata/sf0.01", "labels"), "doc_id")
     clean = rows.where("quality = 1 and not base_failed")
     assert clean.where("not kept").count() <= 0.02 * clean.count()
+    junk = rows.where("quality = 0 and not base_failed")
+    assert junk.count() > 20 and junk.where("kept").count() <= 0.4 * junk.count()
     got = quality.report(odd).collect()
     assert len(got) == odd.count() and not any(r.kept for r in got if r.n_words < 10)
     assert quality.report(empty).count() == 0
