@@ -581,3 +581,67 @@ FROM (SELECT count(*) AS orders,
         CAST(count(*) AS HUGEINT) * sum(y * y) - sum(y) * sum(y) AS vy
       FROM (SELECT CAST(total_order_value * 100 AS HUGEINT) AS x, CAST(total_freight * 100 AS HUGEINT) AS y
             FROM fact_orders WHERE total_order_value IS NOT NULL AND total_freight IS NOT NULL))""")
+
+
+#: The same dirt as ``mercato.sources.dirty``, over the clean views.
+DIRT = {
+    "orders_src": """
+  SELECT CASE WHEN order_id % 31 <> 11 THEN order_id END AS order_id,
+         CASE WHEN order_id % 13 = 1 THEN NULL WHEN order_id % 17 = 2 THEN -customer_id ELSE customer_id END AS customer_id,
+         CASE WHEN order_id % 19 <> 3 THEN order_status END AS order_status,
+         CASE WHEN month(order_purchase_timestamp) NOT IN (3, 4, 9) AND order_id % 23 <> 5
+              THEN order_purchase_timestamp END AS order_purchase_timestamp,
+         order_approved_at, order_delivered_carrier_date,
+         CASE WHEN order_id % 29 <> 7 THEN order_delivered_customer_date END AS order_delivered_customer_date,
+         order_estimated_delivery_date
+  FROM orders_src_clean""",
+    "order_items": """
+  SELECT CASE WHEN j % 37 = 1 THEN NULL WHEN j % 41 = 2 THEN -order_id ELSE order_id END AS order_id, order_item_id,
+         CASE WHEN j % 43 = 3 THEN NULL WHEN j % 47 = 4 THEN -product_id ELSE product_id END AS product_id,
+         CASE WHEN j % 53 <> 5 THEN seller_id END AS seller_id, shipping_limit_date,
+         CASE WHEN j % 11 <> 6 AND product_id % 50 <> 0 THEN price END AS price,
+         CASE WHEN j % 13 <> 7 THEN freight_value END AS freight_value
+  FROM (SELECT *, order_id * 7 + order_item_id AS j FROM order_items_clean)""",
+    "customers": """
+  SELECT CASE WHEN customer_id % 21 <> 4 THEN customer_id END AS customer_id, customer_unique_id,
+         customer_zip_code_prefix, customer_city, customer_state FROM customers_clean
+  UNION ALL
+  SELECT customer_id, customer_unique_id, customer_zip_code_prefix, 'Second City',
+         CASE WHEN customer_id % 20 <> 3 THEN customer_state END FROM customers_clean WHERE customer_id % 10 = 3""",
+    "sellers": """
+  SELECT seller_id, seller_zip_code_prefix, CASE WHEN seller_id % 7 <> 2 THEN seller_city END AS seller_city,
+         CASE WHEN seller_id % 11 <> 3 THEN seller_state END AS seller_state FROM sellers_clean
+  UNION ALL
+  SELECT seller_id, seller_zip_code_prefix, 'second town', seller_state FROM sellers_clean WHERE seller_id % 9 = 4""",
+    "products": """
+  SELECT CASE WHEN product_id % 71 <> 2 THEN product_id END AS product_id,
+         CASE WHEN product_id % 15 <> 1 THEN product_category_name END AS product_category_name FROM products_clean""",
+    "payments": """
+  SELECT CASE WHEN order_id % 29 <> 3 THEN order_id END AS order_id, payment_sequential,
+         CASE WHEN order_id % 17 <> 4 THEN payment_type END AS payment_type,
+         CASE WHEN order_id % 19 <> 6 THEN payment_installments END AS payment_installments,
+         CASE WHEN order_id % 13 <> 5 THEN payment_value END AS payment_value FROM payments_clean
+  UNION ALL
+  SELECT order_id, 2, payment_type, payment_installments, payment_value FROM payments_clean WHERE order_id % 5 = 0""",
+    "reviews": """
+  SELECT review_id,
+         CASE WHEN review_id % 31 = 3 THEN NULL WHEN review_id % 37 = 4 THEN -order_id ELSE order_id END AS order_id,
+         CASE WHEN review_id % 41 = 5 THEN NULL WHEN review_id % 43 = 6 THEN '' ELSE review_score END AS review_score,
+         review_comment_title, review_comment_message,
+         CASE WHEN review_id % 47 <> 8 THEN review_creation_date
+              + to_months(CASE review_id % 3 WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE 7 END) END AS review_creation_date,
+         review_answer_timestamp
+  FROM reviews_clean""",
+}
+
+
+def over_dirt(sql: str) -> str:
+    """The statement with the dirty views in place of the clean ones."""
+    views = ADAPTERS
+    for name in DIRT:
+        views = views.replace(f"\n{name} AS (", f"\n{name}_clean AS (")
+    views += "".join(f",\n{name} AS ({body})" for name, body in DIRT.items())
+    return sql.replace(ADAPTERS.strip(), views.strip())
+
+
+DIRTY_ORACLE = {f"dirty_{name}": over_dirt(sql) for name, sql in ORACLE.items()}

@@ -56,9 +56,15 @@ def customers_by_city(dim_customers: DataFrame, n: int = 20) -> DataFrame:
     return top_n(out, "customers", "customer_city", n)
 
 
+#: Which of a customer's rows survives: the smallest by these columns.
+SURVIVOR_ORDER = ("customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state")
+
+
 def customer_lookup(dim_customers: DataFrame, cols: list[str]) -> DataFrame:
-    """One row per customer id (deterministic survivor), so joins never fan out."""
-    return dedupe_by_key(dim_customers.select("customer_id", *cols), ["customer_id"])
+    """One row per customer id, so joins never fan out. The survivor is the smallest whole row, whatever
+    ``cols`` are: a customer listed twice has city and state of one and the same row in every query."""
+    rows = dim_customers.select("customer_id", *[c for c in SURVIVOR_ORDER if c in dim_customers.columns or c in cols])
+    return dedupe_by_key(rows, ["customer_id"]).select("customer_id", *cols)
 
 
 def _located(fact_orders: DataFrame, dim_customers: DataFrame, col: str) -> DataFrame:

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions.money import MONEY, exact_mean, money_sum_or_zero
-from mercato.operators.clean import dedupe_by_key
 from mercato.operators.shape import one_row
+from mercato.plans.analytics.customer import customer_lookup
 from mercato.plans.analytics.executive import customer_count, item_counts
 from mercato.plans.analytics.review import numeric_score
 
@@ -75,7 +75,7 @@ def delivery_by_location(fact_orders: DataFrame, dim_customers: DataFrame) -> Da
         F.sum("_days").alias("_days_sum"),
         F.count("_days").alias("_days_n"),
     )
-    states = dedupe_by_key(dim_customers.select("customer_id", "customer_state"), ["customer_id"])
+    states = customer_lookup(dim_customers, ["customer_state"])
     located = per_customer.join(states, "customer_id", "inner").filter(F.col("customer_state").isNotNull())
     agg = located.groupBy("customer_state").agg(
         F.sum("_delivered").alias("delivered_orders"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from mercato.functions.columns import resolve_column, to_number
 from mercato.functions.money import exact_mean
 from mercato.operators.shape import fill_month_gaps, month_end_ts, month_start
-from mercato.operators.clean import dedupe_by_key
+from mercato.plans.analytics.customer import customer_lookup
 from mercato.plans.analytics.product import product_category_lookup
 
 # Candidate column names.
@@ -106,7 +106,7 @@ def review_by_location(fact_reviews: DataFrame, fact_orders: DataFrame, dim_cust
         .groupBy("customer_id")
         .agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"))
     )
-    states = dedupe_by_key(dim_customers.select("customer_id", "customer_state"), ["customer_id"])
+    states = customer_lookup(dim_customers, ["customer_state"])
     located = per_customer.join(states, "customer_id", "inner").filter(F.col("customer_state").isNotNull())
     agg = located.groupBy("customer_state").agg(F.sum("_n").alias("reviews"), F.sum("_s").alias("_s"))
     out = agg.select("customer_state", "reviews", (F.col("_s").cast("double") / F.col("reviews")).alias("average_rating"))

@@ -30,6 +30,7 @@ from mercato.plans.analytics import customer, delivery, executive, payment, prod
 from mercato.plans.labels import add_product_labels, add_seller_labels
 from mercato.plans.model import Model
 from mercato.sources import testdata
+from mercato.sources.dirty import DirtyModel
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,9 +53,9 @@ SETTLED_STATUSES = ("F", "O")
 NAMED_PAYMENT_TYPES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW")
 
 
-def _q(fn: Callable[[Model], DataFrame]) -> Query:
+def _q(fn: Callable[[Model], DataFrame], model: type[Model] = Model) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return to_output(fn(Model(spark, sf_dir)))
+        return to_output(fn(model(spark, sf_dir)))
 
     run.__name__ = getattr(fn, "__name__", "query")
     return run
@@ -226,7 +227,17 @@ _QUERIES: dict[str, Callable[[Model], DataFrame]] = {
         "order_id", "total_order_value", format_count("total_order_value").alias("value_count_text")),
 }
 
+#: Queries that are also registered over the dirty entities, as ``dirty_<name>``.
+OVER_DIRT = (
+    "fact_orders", "dim_products", "sales_by_product", "sales_by_seller", "sales_by_category", "executive_kpis",
+    "executive_summary", "monthly_revenue", "order_status_mix", "product_sales_fallback", "low_sales_products",
+    "customer_kpis", "revenue_by_state", "orders_by_city", "customer_value_by_location", "seller_performance",
+    "payment_behaviour", "review_trend", "review_by_location", "poor_review_categories", "delivery_by_location",
+    "null_profile", "key_uniqueness", "orphan_keys",
+)
+
 QUERIES: dict[str, Query] = {name: _q(fn) for name, fn in _QUERIES.items()}
+QUERIES.update({f"dirty_{name}": _q(_QUERIES[name], DirtyModel) for name in OVER_DIRT})
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
