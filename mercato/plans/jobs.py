@@ -96,26 +96,35 @@ def build_gold(
             return write_bucketed(frames[name], gold_root, name, table_prefix + name, bucket_by[name], buckets)
         return publish_to(frames[name], gold_root, name)
 
-    written = {}
-    items = sources["order_items"]
-    if "fact_order_items" in wanted and len(wanted) > 1:
-        # the raw items are scanned once; all other tables read the written fact's columns
-        name = "fact_order_items"
-        wanted.remove(name)
-        written[name] = write(name)
-        items = spark.table(table_prefix + name) if name in bucket_by else read_layer(spark, gold_root, name)
-        frames = gold.build_gold_tables({**sources, "order_items": items}, how=how)
-    if len(set(wanted) & STATE_TABLES) > 1:
-        # the items are reduced once for the marts, once for orders and sellers
-        states = {"seller_orders": gold.seller_orders, "product_totals": gold.product_totals}
-        folder = f"{gold_root.rstrip('/')}/{STATES}/{uuid.uuid4().hex}"
-        run_writes({n: (lambda n=n, f=f: f(items).write.parquet(f"{folder}/{n}")) for n, f in states.items()}, parallel)
-        pairs, totals = (spark.read.parquet(f"{folder}/{n}") for n in states)
-        frames = {**frames, **gold.tables_of_states(sources, pairs, totals, how)}
-        written |= run_writes({name: (lambda n=name: write(n)) for name in wanted}, parallel)
+    fact = "fact_order_items"
+    of_items = [n for n in wanted if n in STATE_TABLES]
+    later = of_items if len(of_items) > 1 or fact in wanted else []
+    folder = f"{gold_root.rstrip('/')}/{STATES}/{uuid.uuid4().hex}"
+    with ThreadPoolExecutor(max_workers=max(parallel, 1), thread_name_prefix="mercato-write") as pool:
+        # the items' fact goes first, as the marts wait for it; tables without items wait for nothing
+        first = sorted((n for n in wanted if n not in later), key=lambda n: n != fact)
+        writes = {name: pool.submit(write, name) for name in first}
+        if later:
+            items = sources["order_items"]
+            if fact in writes:
+                # the raw items are scanned once; the marts read the written fact's columns
+                writes[fact].result()
+                items = spark.table(table_prefix + fact) if fact in bucket_by else read_layer(spark, gold_root, fact)
+            if len(later) > 1:
+                # the items are reduced once for the marts, once for orders and sellers
+                states = {"seller_orders": gold.seller_orders, "product_totals": gold.product_totals}
+                reduced = [pool.submit(f(items).write.parquet, f"{folder}/{n}") for n, f in states.items()]
+                for write_of_state in reduced:
+                    write_of_state.result()
+                pairs, totals = (spark.read.parquet(f"{folder}/{n}") for n in states)
+                frames = {**frames, **gold.tables_of_states(sources, pairs, totals, how)}
+            else:
+                frames = {**frames, **gold.build_gold_tables({**sources, "order_items": items}, how=how)}
+            writes |= {name: pool.submit(write, name) for name in later}
+        written = {name: w.result() for name, w in writes.items()}
+    if len(later) > 1:
         files.delete(spark, folder)
-        return written
-    return written | run_writes({name: (lambda n=name: write(n)) for name in wanted}, parallel)
+    return written
 
 
 def read_gold(
