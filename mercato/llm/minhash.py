@@ -46,15 +46,17 @@ REGISTERS = REPEATS * BUCKETS
 #: Registers of a band: a pair at 0.75 shares none of the 32 bands with probability below 1e-5.
 ROWS = 4
 BANDS = REGISTERS // ROWS
-#: A register: 6 bits for the leading zeros, the rest for the mantissa.
-MANTISSA_BITS = 26
+#: A register of 16 bits: 6 for the leading zeros, the rest for the mantissa. Narrower ones would make
+#: keys of four registers meet by chance; these meet for about one pair of unrelated sets in 2 ** 48.
+MANTISSA_BITS = 10
+REGISTER = np.uint16
 #: Estimates this far below the threshold are discarded (over six standard errors of 128 registers).
 ESTIMATE_SLACK = 0.25
 #: Classes, and bytes of their sets, of one group when different components are compared.
 BLOCK, BLOCK_BYTES = 512, 2 << 20
 
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
-EMPTY = np.uint32(0xFFFFFFFF)
+EMPTY = REGISTER(0xFFFF)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -111,7 +113,7 @@ def compress(smallest: np.ndarray) -> np.ndarray:
         zeros[small] += np.uint64(step)
         x[small] <<= np.uint64(step)
     mantissa = (x << np.uint64(1)) >> np.uint64(64 - MANTISSA_BITS)
-    out = ((np.minimum(zeros, np.uint64(62)) << np.uint64(MANTISSA_BITS)) | mantissa).astype(np.uint32)
+    out = ((np.minimum(zeros, np.uint64(62)) << np.uint64(MANTISSA_BITS)) | mantissa).astype(REGISTER)
     out[empty] = EMPTY
     return out
 
@@ -126,19 +128,24 @@ def band_keys(registers: np.ndarray) -> list[int]:
     return key[used].view(np.int64).tolist()
 
 
+def collision_chance(n: np.ndarray, m: np.ndarray, bits: int) -> np.ndarray:
+    """Probability that registers of unrelated sets of ``n`` and ``m`` values agree."""
+    n, m = np.maximum(n, 1).astype(float), np.maximum(m, 1).astype(float)
+    return n * m / (n + m) ** 2 / (2 * np.log(2)) * 2.0**-bits
+
+
 def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
     """Jaccard similarity of sketches row by row, corrected for registers that agree by chance.
 
-    Unrelated minima of sets of sizes n and m agree if both have the same
-    number of leading zeros and the same mantissa. The chance of the first is
-    a convolution of geometric tails, at most about one third, so that a third
-    of 2 ** -MANTISSA_BITS (scaled by how alike the sizes are) is the expected
-    share of false agreements.
+    Minima of unrelated sets of sizes n and m agree if they fall into the same
+    cell, whose width is 2 ** -bits of the power of two below it. Over all
+    places of the minima that has probability n m / (n + m) ** 2 / (2 ln 2) times
+    2 ** -bits, the expected share of false agreements.
     """
     used = (a != EMPTY) | (b != EMPTY)
     agree = ((a == b) & used).sum(axis=-1)
     total = np.maximum(used.sum(axis=-1), 1)
-    chance = np.minimum(n, m) / np.maximum(np.maximum(n, m), 1) / 3 * 2.0**-MANTISSA_BITS
+    chance = collision_chance(n, m, MANTISSA_BITS)
     raw = agree / total
     return np.clip((raw - chance) / (1 - chance), 0, 1)
 
@@ -178,7 +185,7 @@ def keyed(classes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [band_keys(np.frombuffer(r, np.uint32)) for r in batch.column("registers").to_pylist()]
+            keys = [band_keys(np.frombuffer(r, REGISTER)) for r in batch.column("registers").to_pylist()]
             sizes = [len(k) for k in keys]
             at = np.repeat(np.arange(len(keys)), sizes)
             yield pa.RecordBatch.from_arrays(
@@ -196,8 +203,8 @@ def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     def near(x: pd.Series, y: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
         if not len(x):
             return pd.Series([], dtype=bool)
-        left = np.frombuffer(b"".join(x), np.uint32).reshape(-1, REGISTERS)
-        right = np.frombuffer(b"".join(y), np.uint32).reshape(-1, REGISTERS)
+        left = np.frombuffer(b"".join(x), REGISTER).reshape(-1, REGISTERS)
+        right = np.frombuffer(b"".join(y), REGISTER).reshape(-1, REGISTERS)
         return pd.Series(estimate(left, right, n.to_numpy(), m.to_numpy()) >= LEAST_PERCENT / 100 - ESTIMATE_SLACK)
 
     left = classes.select(F.col("node").alias("a"), F.col("registers").alias("x"), F.col("n_shingles").alias("n"))
@@ -267,7 +274,7 @@ def components(links: DataFrame) -> DataFrame:
 def _compare(block: pd.DataFrame) -> pd.DataFrame:
     """Links that join components of a block: one row for each join, not one for each pair."""
     block = block.sort_values("node")
-    regs = np.frombuffer(b"".join(block["registers"]), np.uint32).reshape(-1, REGISTERS)
+    regs = np.frombuffer(b"".join(block["registers"]), REGISTER).reshape(-1, REGISTERS)
     node, g, n = (block[c].to_numpy() for c in ("node", "g", "n_shingles"))
     comp = np.unique(block["comp"].to_numpy(), return_inverse=True)[1]
     sets = [np.frombuffer(h, np.uint64) for h in block["hashes"]]
@@ -323,11 +330,11 @@ def resolve(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for each row of ``docs``."""
     spark = docs.sparkSession
     rows = sketched(docs)
-    # one class for each distinct set; its node number is the smallest document id with that set
+    # one class for each distinct set, numbered as it is written: no two classes share a number
     classes = staged(
         rows.where("cls is not null").groupBy("cls").agg(
             F.min("doc_id").alias("doc_id"), F.first("registers").alias("registers"), F.first("n_shingles").alias("n_shingles")
-        ).withColumn("node", F.xxhash64("cls")),
+        ).withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
     keys = staged(keyed(classes), "keys")

@@ -244,3 +244,33 @@ def test_row_keys_tell_rows_apart(spark):
 
 def test_quality_module_is_unchanged_for_null_texts():
     assert quality.base_counts(None) == quality.base_counts("") == (0, 0, 0, 0, 0)
+
+
+# --- sketches -------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("n, m", [(3000, 3000), (400, 2000)])
+def test_collision_chance_equals_simulation(monkeypatch, n, m):
+    """With four mantissa bits the chance is large enough to be measured, and to bias an estimate."""
+    monkeypatch.setattr(minhash, "MANTISSA_BITS", 4)
+    rng = np.random.default_rng(5)
+
+    def numbers(k):
+        return np.unique(rng.integers(0, 1 << 64, k, np.uint64))
+
+    agreed = np.mean([(minhash.sketch(numbers(n)) == minhash.sketch(numbers(m))).mean() for _ in range(400)])
+    assert agreed == pytest.approx(minhash.collision_chance(np.array(n), np.array(m), 4), rel=0.15)
+    raw, corrected = [], []
+    for _ in range(400):
+        both = numbers(1000)
+        a, b = (np.union1d(both, numbers(2000)) for _ in range(2))  # similarity 0.2
+        x, y = minhash.sketch(a)[None], minhash.sketch(b)[None]
+        raw.append((x == y).mean())
+        corrected.append(minhash.estimate(x, y, np.array([len(a)]), np.array([len(b)]))[0])
+    assert abs(np.mean(corrected) - 0.2) < abs(np.mean(raw) - 0.2) and np.mean(corrected) == pytest.approx(0.2, abs=0.006)
+
+
+def test_classes_are_numbered_apart(spark):
+    """Classes get numbers of their own, so equal digests of two classes cannot merge them."""
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(12))) for i in range(50)] * 2, "doc_id long, text string")
+    assert {r.component_id for r in minhash.report(docs.repartition(7)).collect()} == set(range(50))
