@@ -23,8 +23,11 @@ match:
    unique holds nothing, one whose bytes repeat is covered, the rest is split
    again, down to single windows. No row is dropped or sampled.
 
-Null text counts as empty. Rows are told apart by id and text; rows that repeat
-both are copies of each other. Other columns are not read.
+Null text counts as empty. Rows are told apart by a 64-bit digest of id and text;
+rows that repeat both are copies of each other. Whole stretches (at most 760 bytes)
+are taken as equal if both their anchor's 64-bit hash and their own 64-bit digest
+are; what is compared in shards and blocks is compared by its bytes or 128 bits.
+Other columns are not read.
 """
 
 from __future__ import annotations
