@@ -268,10 +268,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def filtered(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without any hit, with all their columns.
 
-    Only the ids and texts' digests of contaminated rows are joined, so repeated
+    Only 128-bit digests of the contaminated rows' ids and texts are joined, so repeated
     and null ids keep their own verdict; a row's verdict depends on its text alone.
     """
-    key = F.xxhash64("doc_id", "text")
+    halves = F.xxhash64("doc_id", "text"), F.xxhash64(F.lit(1), "text", "doc_id")
+    key = F.concat(*(F.unhex(F.lpad(F.hex(h), 16, "0")) for h in halves))
     rows = docs.select(key.alias("doc_id"), "text")
     bad = staged(decontaminate(rows, benchmark).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct(), "hits")
     return docs.join(bad, key == bad["_bad"], "left_anti")
