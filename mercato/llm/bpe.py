@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, slices, texts_of
 
-#: Pieces a task keeps with their ids; the cache starts anew when full.
+#: Pieces kept with their ids, about.
 CACHE_PIECES = 500_000
 #: Bytes from which a piece is merged by a heap and not kept.
 LONG_PIECE = 64
@@ -296,21 +296,32 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class PieceIds:
-    """Ids of pieces as bytes (unsigned 32-bit, little-endian), kept from batch to batch."""
+    """Ids of pieces as bytes (unsigned 32-bit, little-endian), kept from batch to batch.
+
+    Two halves: when the newer is full it becomes the older, and pieces that are
+    met again move to the newer, so frequent pieces stay.
+    """
 
     def __init__(self, find: Callable[[list[bytes]], list[bytes]], limit: int = CACHE_PIECES):
-        self.find, self.limit, self.held = find, limit, {}
+        self.find, self.limit, self.held, self.older = find, limit, {}, {}
 
     def of(self, pieces: list[bytes]) -> list[bytes]:
-        """``pieces`` are distinct."""
+        """A piece may stand in ``pieces`` more than once; each is looked for once."""
         blobs = list(map(self.held.get, pieces))
-        missing = [p for p, b in zip(pieces, blobs) if b is None]
-        if missing:
-            if len(self.held) + len(missing) > self.limit:
-                self.held = {}
-            found = dict(zip(missing, self.find(missing)))
-            self.held.update((p, b) for p, b in found.items() if len(p) <= LONG_PIECE)
-            blobs = [found[p] if b is None else b for p, b in zip(pieces, blobs)]
+        at = [i for i, b in enumerate(blobs) if b is None]
+        if at:
+            wanted = list(dict.fromkeys([pieces[i] for i in at]))
+            found = dict(zip(wanted, map(self.older.get, wanted)))
+            missing = [p for p, b in found.items() if b is None]
+            found.update(zip(missing, self.find(missing)))
+            for i in at:
+                blobs[i] = found[pieces[i]]
+            if 2 * (len(self.held) + len(found)) > self.limit:
+                self.held, self.older = {}, self.held
+            self.held |= found
+            for p in missing:
+                if len(p) > LONG_PIECE:
+                    del self.held[p]
         return blobs
 
 
@@ -348,7 +359,12 @@ def distinct(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[n
     size = size.astype(np.uint64)
     mixed = (low ^ (low >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + high * np.uint64(0x9E3779B97F4A7C15)
     mixed = (mixed ^ (mixed >> np.uint64(32)) ^ size) * np.uint64(0x94D049BB133111EB)
-    _, first, where = np.unique(mixed, return_index=True, return_inverse=True)
+    order = np.argsort(mixed)
+    ranked = mixed[order]
+    new = np.ones(len(order), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    first, where = order[new], np.empty(len(order), np.int64)
+    where[order] = np.cumsum(new) - 1
     same = (low == low[first][where]) & (high == high[first][where]) & (size == size[first][where])
     if not same.all():  # two pieces with one hash: those of the second kind count as distinct
         odd = np.flatnonzero(~same)
@@ -388,16 +404,13 @@ def encode_pieces(texts: list[str], pre: PreTokenizer, ids_of: PieceIds) -> tupl
         at = np.concatenate([[0], np.cumsum(width, dtype=np.int64)])[np.append(starts, len(points))]
     some, place = distinct(np.frombuffer(raw, np.uint8), at[:-1], np.diff(at))
     pieces = [raw[a:b] for a, b in zip(at[some].tolist(), at[some + 1].tolist())]
-    numbers: dict[bytes, int] = {}  # long pieces may repeat
-    name = np.array([numbers.setdefault(p, len(numbers)) for p in pieces])
-    blobs = ids_of.of(list(numbers))
+    blobs = ids_of.of(pieces)
     sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
     flat = np.frombuffer(b"".join(blobs), "<i4")
-    which = name[place]
-    counts = sizes[which]
+    counts = sizes[place]
     upto = np.concatenate([[0], np.cumsum(counts)])
     begin = np.cumsum(sizes) - sizes
-    ids = flat[np.repeat(begin[which] - upto[:-1], counts) + np.arange(upto[-1])]
+    ids = flat[np.repeat(begin[place] - upto[:-1], counts) + np.arange(upto[-1])]
     return ids, upto[heads], starts, heads, counts
 
 

@@ -21,7 +21,8 @@ import json
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -69,7 +70,7 @@ class Coder:
         self.start = (np.cumsum(freq) - freq).astype(np.uint64)
         self.slot = np.zeros(int(ids.max()) + 1 if len(ids) else 1, np.int64)
         self.slot[self.ids] = np.arange(len(ids))
-        self.symbol = np.repeat(np.arange(len(ids)), freq)
+        self.symbol = np.repeat(np.arange(len(ids), dtype=np.int32), freq)
 
     def encode(self, ids: np.ndarray, lanes: int = LANES, every: int = CHECKPOINT_STEPS) -> tuple:
         """(lanes, states at checkpoints, places of checkpoints, words) of a block."""
@@ -77,22 +78,27 @@ class Coder:
         lanes = max(1, min(lanes, n // 64))
         steps = -(-n // lanes)
         symbols = self.slot[ids]
+        freq, start = self.freq[symbols], self.start[symbols]
+        limit, rest = freq << (np.uint64(63) - self.bits), (np.uint64(1) << self.bits) - freq
         state = np.full(lanes, LOW, np.uint64)
+        quotient = np.empty(lanes, np.uint64)
         words: list[np.ndarray] = []
         marks: list[tuple[int, np.ndarray]] = []
         given = 0
         for t in range(steps - 1, -1, -1):
-            s = symbols[t * lanes : (t + 1) * lanes]
-            f = self.freq[s]
-            x = state[: len(s)]
-            full = x >= (f << (np.uint64(63) - self.bits))
-            if full.any():
-                out = (x[full] & np.uint64(0xFFFFFFFF)).astype("<u4")
-                x = np.where(full, x >> np.uint64(32), x)
-                words.append(out)
+            part = slice(t * lanes, min((t + 1) * lanes, n))
+            x, q = state[: part.stop - part.start], quotient[: part.stop - part.start]
+            full = np.flatnonzero(x >= limit[part])
+            if len(full):
+                out = x[full]
+                words.append(out.astype("<u4"))
+                x[full] = out >> np.uint64(32)
                 given += len(out)
-            q = x // f
-            state[: len(s)] = (q << self.bits) + (x - q * f) + self.start[s]
+            # (x // f << bits) + x % f + start, in place
+            np.floor_divide(x, freq[part], out=q)
+            q *= rest[part]
+            x += q
+            x += start[part]
             if t % every == 0:
                 marks.append((given, state.copy()))
         # words are read in the opposite order; a place counts from the front
@@ -110,7 +116,7 @@ class Coder:
         words = np.frombuffer(payload, "<u4").astype(np.uint64)
         first = 0 if part is None else part * every
         last = -(-n // lanes) if part is None else min(first + every, -(-n // lanes))
-        out = np.empty(max(0, min(n, last * lanes) - first * lanes), np.int64)
+        out = np.empty(max(0, min(n, last * lanes) - first * lanes), np.int32)
         if not len(out):
             return out
         state, at = marks[part or 0].copy(), places[part or 0]
@@ -119,14 +125,16 @@ class Coder:
             size = min(lanes, n - t * lanes)
             x = state[:size]
             low = x & mask
-            s = self.symbol[low]
+            s = self.symbol.take(low.view(np.int64))
             out[(t - first) * lanes : (t - first) * lanes + size] = s
-            x = self.freq[s] * (x >> self.bits) + low - self.start[s]
+            x >>= self.bits
+            x *= self.freq.take(s)
+            x += low
+            x -= self.start.take(s)
             need = np.flatnonzero(x < LOW)
             if len(need):
                 x[need] = (x[need] << np.uint64(32)) | words[at : at + len(need)]
                 at += len(need)
-            state[:size] = x
         return self.ids[out]
 
 
@@ -195,6 +203,23 @@ def encode_all(texts: list[str], added: list, pre: PreTokenizer, ids_of: PieceId
     return np.concatenate(out).astype(ids.dtype), np.cumsum(sizes)
 
 
+def finder(data: str) -> Callable[[list[bytes]], list[bytes]]:
+    """The function for :class:`PieceIds` that asks the model of the tokenizers library."""
+    from tokenizers import Tokenizer
+
+    model, letters = Tokenizer.from_str(data).model, _byte_letters()
+
+    def find(pieces: list[bytes]) -> list[bytes]:
+        # one translation for all: each byte becomes one letter
+        spelled = b"".join(pieces).decode("latin-1").translate(letters)
+        ends = list(accumulate(map(len, pieces)))
+        return [
+            array("I", [t.id for t in model.tokenize(spelled[a:b])]).tobytes() for a, b in zip([0, *ends], ends)
+        ]
+
+    return find
+
+
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     """Staged ``doc_id, tie, ids binary`` and, for each task, its counts of ids (``tie`` null).
 
@@ -205,23 +230,15 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     spark = docs.sparkSession
     bounded_batches(spark)
     with open(tokenizer_path, encoding="utf-8") as f:
-        shared = spark.sparkContext.broadcast((f.read(), class_table().tobytes()))
+        # the list is filled by each Python worker, which keeps what it holds from task to task
+        shared = spark.sparkContext.broadcast((f.read(), class_table().tobytes(), []))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        data, classes = shared.value
-        model, added = Tokenizer.from_str(data).model, added_tokens(data)
-        letters = _byte_letters()
-
-        def find(pieces: list[bytes]) -> list[bytes]:
-            return [
-                array("I", [t.id for t in model.tokenize(p.decode("latin-1").translate(letters))]).tobytes()
-                for p in pieces
-            ]
-
-        ids_of, pre = PieceIds(find), PreTokenizer(np.frombuffer(classes, np.uint8))
+        data, classes, kept = shared.value
+        if not kept:
+            kept.append((added_tokens(data), PreTokenizer(np.frombuffer(classes, np.uint8)), PieceIds(finder(data))))
+        added, pre, ids_of = kept[0]
         counts = np.zeros(1, np.int64)
         empty = None
         for batch in slices(batches, "text", 4 << 20):
