@@ -299,7 +299,7 @@ def _compare(block: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
-def _cross_links(docs: DataFrame, crowded: DataFrame, classes: DataFrame) -> DataFrame:
+def _cross_links(crowded: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between different components of ``crowded`` (``key, node, comp``), verified on full sets.
 
     Classes that keys connect are a cluster. Its classes are dealt to groups of
@@ -312,12 +312,11 @@ def _cross_links(docs: DataFrame, crowded: DataFrame, classes: DataFrame) -> Dat
     edges = crowded.join(hubs, "key").where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
     clusters = components(edges.distinct()).withColumnRenamed("comp", "cluster")
     nodes = crowded.select("node", "comp").distinct().join(clusters, "node")
-    rows = staged(nodes.join(classes.select("node", "n_shingles", "registers", "doc_id", "cls"), "node"), "clusters")
+    rows = staged(nodes.join(classes.select("node", "n_shingles", "registers"), "node"), "clusters")
     sizes = rows.groupBy("cluster").agg(
         F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") * 8 / BLOCK_BYTES)).cast("int").alias("groups")
     )
-    sets = _sets(docs, rows.select("node", "doc_id", "cls")).dropDuplicates(["node"])
-    rows = rows.drop("doc_id", "cls").join(sets, "node").join(sizes, "cluster")
+    rows = rows.join(sets, "node").join(sizes, "cluster")
     rows = rows.withColumn("g", F.pmod(F.xxhash64("node"), F.col("groups")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).select(
         "cluster", "node", "comp", "n_shingles", "registers", "hashes", "g",
@@ -343,14 +342,16 @@ def resolve(docs: DataFrame) -> DataFrame:
     crowded = staged(keys.join(shared.select("key", "hub"), "key"), "crowded")
     star = crowded.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     star = staged(_estimated(star, classes), "star")
-    # full sets are made once, for the classes that share a key with any other and are near in some pair
-    first = _verified(docs, classes, star)
+    # full sets are made once, for the classes that share a key with any other: the texts are shuffled once
+    nodes = classes.select("node", "doc_id", "cls").join(crowded.select("node").distinct(), "node")
+    sets = staged(_sets(docs, nodes).dropDuplicates(["node"]), "sets")
+    first = staged(_linked(star, sets), "verified")
     labels = components(first)
     named = crowded.join(labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
     mixed = named.groupBy("key").agg((F.min("comp") != F.max("comp")).alias("mixed")).where("mixed").select("key")
     rest = staged(named.join(mixed, "key"), "mixed")
     if not rest.isEmpty():
-        labels = components(first.union(_cross_links(docs, rest, classes)))
+        labels = components(first.union(_cross_links(rest, classes, sets)))
     member = classes.select("cls", "node", "doc_id").join(labels, "node", "left")
     member = member.select("cls", F.col("doc_id").alias("least"), F.coalesce("comp", "node").alias("comp"))
     smallest = member.groupBy("comp").agg(F.min("least").alias("component_id"))
@@ -360,13 +361,6 @@ def resolve(docs: DataFrame) -> DataFrame:
     )
 
 
-def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    nodes = classes.select("node", "doc_id", "cls").join(nodes, "node")
-    sets = staged(_sets(docs, nodes).dropDuplicates(["node"]), "sets")
-    return staged(_linked(pairs, sets), "verified")
-
-
 def report(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for each row of ``docs``."""
     return resolve(docs).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
