@@ -29,6 +29,8 @@ from .common import bounded_batches, slices, texts_of
 CACHE_PIECES = 500_000
 #: Bytes from which a piece is merged by a heap and not kept.
 LONG_PIECE = 64
+#: Bytes of text that are encoded at a time: the arrays of one step are some 50 times as large.
+STEP_BYTES = 512 << 10
 
 # Classes of code points
 LETTER, NUMBER, OTHER, QUOTE, SPACE, WHITE = range(6)
@@ -432,7 +434,7 @@ def encode(docs: DataFrame, ranks_path: str, with_offsets: bool = True) -> DataF
         data, classes = shared.value
         ids_of = PieceIds(merger(read_ranks(data)))
         pre = PreTokenizer(np.frombuffer(classes, np.uint8))
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text", STEP_BYTES):
             ids, upto, starts, heads, counts = encode_pieces(texts_of(batch), pre, ids_of)
             columns = [
                 batch.column("doc_id"),
@@ -474,6 +476,23 @@ def in_range(encoded: DataFrame, start: int, end: int) -> DataFrame:
     )
 
 
+def token_table(ranks: dict[bytes, int]) -> pa.Array:
+    """The bytes of each id; ids that no token has are empty."""
+    tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return pa.array(tokens, pa.binary())
+
+
+def joined_tokens(tokens: pa.Array, ids: pa.Array, sizes: np.ndarray) -> pa.Array:
+    """The joined bytes of each row's tokens, ``sizes`` ids a row; taken as one array, whose bytes are joined already."""
+    found = tokens.cast(pa.large_binary()).take(ids)
+    _, offsets, data = found.buffers()
+    ends = np.frombuffer(offsets, np.int64, len(found) + 1)[np.concatenate([[0], np.cumsum(sizes)])]
+    rows = pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends), data])
+    return rows.cast(pa.binary())
+
+
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """``doc_id, n_tokens, ids, decoded binary`` from rows with ids; null ids count as none."""
     spark = encoded.sparkSession
@@ -481,18 +500,12 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
         shared = spark.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = read_ranks(shared.value)
-        tokens = [b""] * (max(ranks.values(), default=-1) + 1)
-        for token, rank in ranks.items():
-            tokens[rank] = token
+        tokens = token_table(read_ranks(shared.value))
         for batch in batches:
             column = batch.column("ids").fill_null([])
-            ids = column.flatten().to_pylist()
-            upto = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))]).tolist()
-            pieces = list(map(tokens.__getitem__, ids))
-            decoded = [b"".join(pieces[a:b]) for a, b in zip(upto, upto[1:])]
+            sizes = column.value_lengths().to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.diff(upto), pa.int64()), column, pa.array(decoded, pa.binary())],
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), column, joined_tokens(tokens, column.flatten(), sizes)],
                 names=["doc_id", "n_tokens", "ids", "decoded"],
             )
 

@@ -16,7 +16,7 @@ one item: any of their windows counts.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, merged_slices, staged, texts_of
+from .common import bounded_batches, merged_slices, staged
 
 #: Words of a window.
 WINDOW = 10
@@ -70,23 +70,34 @@ class Numbers(dict):
         return n
 
 
-def segment_of(doc_ids: pa.Array, texts: list[str]) -> list:
-    """Doc ids, words by document, terms, postings' lengths and positions of one segment."""
-    numbers, parts, counts = Numbers(), [], []
+def segment_of(doc_ids: pa.Array, texts: Iterable[str | None]) -> list:
+    """Doc ids, words by document, terms, postings' lengths and positions of one segment.
+
+    The arrays over all words are changed in place: with copies they set the worker's memory.
+    """
+    numbers, parts, counts = Numbers(), [np.zeros(0, np.int32)], []
     for text in texts:
         words = words_of(text)
         counts.append(len(words))
-        parts.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
+        parts.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
     sizes = np.array(counts, np.int64)
+    order = np.concatenate(parts).astype(np.int64)
+    del parts
     bases = np.concatenate([[0], np.cumsum(sizes + GAP)])[:-1]
     first = np.cumsum(sizes) - sizes
-    places = np.arange(int(sizes.sum())) + np.repeat(bases - first, sizes)
-    span = int(places[-1]) + 1 if len(places) else 1
-    order = np.sort(np.concatenate([*parts, np.zeros(0, np.int64)]) * span + places)
-    term, place = np.divmod(order, span)
-    lengths = np.bincount(term, minlength=len(numbers))
+    place = np.repeat(bases - first, sizes)
+    place += np.arange(len(place), dtype=np.int32)
+    span = int(place[-1]) + 1 if len(place) else 1
+    order *= span
+    order += place
+    order.sort()
+    np.remainder(order, span, out=place)
+    order //= span  # the terms
+    lengths = np.bincount(order, minlength=len(numbers))
+    del order
     # differences are small within a postings list, which is what the packing needs
-    steps = np.diff(place, prepend=0)
+    steps = np.diff(place.astype(np.int32), prepend=np.int32(0))
+    del place
     return [doc_ids, sizes, b" ".join(numbers), pack(lengths), pack(steps)]
 
 
@@ -101,7 +112,7 @@ def build_index(docs: DataFrame) -> DataFrame:
         # rows are numbered as they are written, so equal rows have different numbers
         first = TaskContext.get().partitionId() << 40
         for batch in merged_slices(batches, "text", SEGMENT_BYTES):
-            ids, sizes, terms, lengths, steps = segment_of(batch.column("doc_id"), texts_of(batch))
+            ids, sizes, terms, lengths, steps = segment_of(batch.column("doc_id"), (t.as_py() for t in batch.column("text")))
             whole = pa.array([0, len(ids)], pa.int32())
             first += len(ids)
             yield pa.RecordBatch.from_arrays(
