@@ -3,14 +3,17 @@
 A document's set has its distinct shingles of five lower-cased words. The
 sketch has ``REPEATS`` x ``BUCKETS`` registers: in each repeat a shingle's hash
 chooses a bucket, and the bucket keeps the smallest remaining hash as its count
-of leading zeros and the mantissa bits behind them. Bands of registers are
-hashed to keys; documents that share a key are candidates. Rows with equal sets
-are one class from the start, so copies never meet pair by pair.
+of leading zeros and the mantissa bits behind them. Bands are hashed to keys; documents
+that share a key are candidates. Keys take the whole minima, from which the
+registers are cut: a small set fills one register of a band or two, and equal
+registers alone would be shared by many unrelated small sets. Rows with equal
+sets are one class from the start, so copies never meet pair by pair.
 
 Candidates of a key are not all paired. First each class is compared with the
 smallest of its key (a star) and the links found make components; then only
-keys that still hold several components go on, and there only classes of
-different components are compared, inside blocks of bounded size. The
+keys that still hold several components go on. Of their classes those that
+share a rare shingle are brought together, and there only classes of different
+components are compared, inside blocks of bounded size. The
 collision-corrected estimate from two sketches discards pairs far below the
 threshold, and what is left is verified on the full sets; a block emits the
 links that join components, not its pairs.
@@ -46,8 +49,7 @@ REGISTERS = REPEATS * BUCKETS
 #: Registers of a band: a pair at 0.75 shares none of the 32 bands with probability below 1e-5.
 ROWS = 4
 BANDS = REGISTERS // ROWS
-#: A register of 16 bits: 6 for the leading zeros, the rest for the mantissa. Narrower ones would make
-#: keys of four registers meet by chance; these meet for about one pair of unrelated sets in 2 ** 48.
+#: A register of 16 bits: 6 for the leading zeros, the rest for the mantissa.
 MANTISSA_BITS = 10
 REGISTER = np.uint16
 #: Estimates this far below the threshold are discarded (over six standard errors of 128 registers).
@@ -57,6 +59,8 @@ BLOCK, BLOCK_BYTES = 512, 2 << 20
 
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 EMPTY = REGISTER(0xFFFF)
+#: The minimum of a bucket without values; others end in four zero bits.
+NO_MINIMUM = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -93,19 +97,24 @@ def shingles(text: str | None, hashes: WordHashes, size: int = SHINGLE) -> np.nd
     return np.unique(out)
 
 
-def sketch(found: np.ndarray) -> np.ndarray:
-    """Registers of a set of hashes."""
-    out = np.full((REPEATS, BUCKETS), 0xFFFFFFFFFFFFFFFF, np.uint64)
+def minima(found: np.ndarray) -> np.ndarray:
+    """The smallest remaining hash of each bucket, ``NO_MINIMUM`` in those without values."""
+    out = np.full((REPEATS, BUCKETS), NO_MINIMUM, np.uint64)
     for r in range(REPEATS):
         h = found if r == 0 else mix(found + np.uint64((r * _MIX[0]) & 0xFFFFFFFFFFFFFFFF))
         bucket = (h >> np.uint64(60)).astype(np.intp)
         np.minimum.at(out[r], bucket, h << np.uint64(4))
-    return compress(out.ravel())
+    return out.ravel()
+
+
+def sketch(found: np.ndarray) -> np.ndarray:
+    """Registers of a set of hashes."""
+    return compress(minima(found))
 
 
 def compress(smallest: np.ndarray) -> np.ndarray:
     """Leading zeros and mantissa of each 64-bit minimum; ``EMPTY`` for a bucket without values."""
-    empty = smallest == np.uint64(0xFFFFFFFFFFFFFFFF)
+    empty = smallest == NO_MINIMUM
     zeros = np.zeros(len(smallest), np.uint64)
     x = smallest.copy()
     for step in (32, 16, 8, 4, 2, 1):
@@ -118,14 +127,14 @@ def compress(smallest: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(registers: np.ndarray) -> list[int]:
-    """Signed 64-bit keys of the bands that hold any value."""
-    rows = registers.reshape(BANDS, ROWS)
-    used = (rows != EMPTY).any(axis=1)
+def band_keys(smallest: np.ndarray) -> np.ndarray:
+    """64-bit keys of the bands that hold any value, from their whole minima."""
+    rows = smallest.reshape(BANDS, ROWS)
+    used = (rows != NO_MINIMUM).any(axis=1)
     key = np.arange(BANDS, dtype=np.uint64) * np.uint64(_MIX[0])
     for k in range(ROWS):
-        key = mix(key + rows[:, k].astype(np.uint64) + np.uint64(_MIX[2]))
-    return key[used].view(np.int64).tolist()
+        key = mix((key + rows[:, k] + np.uint64(_MIX[2])) * np.uint64(_MIX[0]))
+    return key[used]
 
 
 def collision_chance(n: np.ndarray, m: np.ndarray, bits: int) -> np.ndarray:
@@ -151,10 +160,10 @@ def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.n
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """Staged ``doc_id, n_shingles, cls, registers``: one row for each row of ``docs``.
+    """Staged ``doc_id, n_shingles, cls, registers, keys``: one row for each row of ``docs``.
 
     ``cls`` is a 128-bit digest of the set, null for an empty one: rows with
-    equal sets have the same.
+    equal sets have the same. ``keys`` has the bands' keys, eight bytes each.
     """
     bounded_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -162,21 +171,23 @@ def sketched(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in slices(batches, "text"):
-            counts, classes, registers = [], [], []
+            counts, classes, registers, keys = [], [], [], []
             for text in texts_of(batch):
                 found = shingles(text, hashes)
                 counts.append(len(found))
                 classes.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
-                registers.append(sketch(found).tobytes() if len(found) else None)
+                smallest = minima(found)
+                registers.append(compress(smallest).tobytes() if len(found) else None)
+                keys.append(band_keys(smallest).tobytes() if len(found) else None)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), pa.array(counts, pa.int64()),
-                    pa.array(classes, pa.binary()), pa.array(registers, pa.binary()),
+                    pa.array(classes, pa.binary()), pa.array(registers, pa.binary()), pa.array(keys, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "cls", "registers"],
+                names=["doc_id", "n_shingles", "cls", "registers", "keys"],
             )
 
-    schema = f"doc_id {kind}, n_shingles bigint, cls binary, registers binary"
+    schema = f"doc_id {kind}, n_shingles bigint, cls binary, registers binary, keys binary"
     return staged(docs.select("doc_id", "text").mapInArrow(run, schema), "sketches")
 
 
@@ -185,15 +196,14 @@ def keyed(classes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [band_keys(np.frombuffer(r, REGISTER)) for r in batch.column("registers").to_pylist()]
-            sizes = [len(k) for k in keys]
-            at = np.repeat(np.arange(len(keys)), sizes)
+            found = batch.column("keys").to_pylist()
+            at = np.repeat(np.arange(len(found)), [len(k) // 8 for k in found])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k for ks in keys for k in ks], pa.int64()), batch.column("node").take(pa.array(at))],
+                [pa.array(np.frombuffer(b"".join(found), np.int64)), batch.column("node").take(pa.array(at))],
                 names=["key", "node"],
             )
 
-    return classes.select("node", "registers").mapInArrow(run, "key bigint, node bigint")
+    return classes.select("node", "keys").mapInArrow(run, "key bigint, node bigint")
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -299,10 +309,45 @@ def _compare(block: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
+def _narrowed(crowded: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """``key, node, comp`` of the rare shingles by which classes of different components could still be linked.
+
+    Two sets that reach the threshold have a shingle in common among the rarest of
+    each: what is left of a set without its ``LEAST_PERCENT`` most common shingles,
+    and one more. So passages that many unlinked documents share bring nothing
+    together, however many share them.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "hashes", 1 << 20):
+            found = batch.column("hashes").to_pylist()
+            at = np.repeat(np.arange(len(found)), [len(h) // 8 for h in found])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node").take(pa.array(at)), pa.array(np.frombuffer(b"".join(found), np.int64))],
+                names=["node", "key"],
+            )
+
+    nodes = staged(crowded.select("node", "comp").distinct().join(classes.select("node", "n_shingles"), "node"), "unlinked")
+    held = sets.join(nodes.select("node"), "node").mapInArrow(run, "node bigint, key bigint")
+    often = staged(held.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "often")
+    rows = held.join(often, "key").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("found"))
+    # shingles that no other of these sets has come first of all
+    first = F.expr(f"cast(n_shingles - ({LEAST_PERCENT} * n_shingles + 99) div 100 + 1 - (n_shingles - size(found)) as int)")
+    rows = rows.join(nodes, "node").withColumn("first", first).where("first > 0")
+    rare = rows.select(F.explode(F.slice("found", F.lit(1), F.col("first"))).alias("rare"), "node", "comp")
+    return staged(_mixed(rare.select("rare.key", "node", "comp")), "rare")
+
+
+def _mixed(named: DataFrame) -> DataFrame:
+    """The rows of ``named`` (``key, node, comp``) whose key holds several components."""
+    mixed = named.groupBy("key").agg((F.min("comp") != F.max("comp")).alias("mixed")).where("mixed").select("key")
+    return named.join(mixed, "key")
+
+
 def _cross_links(crowded: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between different components of ``crowded`` (``key, node, comp``), verified on full sets.
 
-    Classes that keys connect are a cluster. Its classes are dealt to groups of
+    Classes that keys (rare shingles) connect are a cluster. Its classes are dealt to groups of
     bounded bytes; two groups, or one with itself, meet in one task, which
     compares sketches, then full sets of what the sketches leave, and emits at
     most one link for each join of components. Nothing is capped: a larger
@@ -332,7 +377,8 @@ def resolve(docs: DataFrame) -> DataFrame:
     # one class for each distinct set, numbered as it is written: no two classes share a number
     classes = staged(
         rows.where("cls is not null").groupBy("cls").agg(
-            F.min("doc_id").alias("doc_id"), F.first("registers").alias("registers"), F.first("n_shingles").alias("n_shingles")
+            F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"),
+            F.first("registers").alias("registers"), F.first("keys").alias("keys"),
         ).withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
@@ -348,8 +394,9 @@ def resolve(docs: DataFrame) -> DataFrame:
     first = staged(_linked(star, sets), "verified")
     labels = components(first)
     named = crowded.join(labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
-    mixed = named.groupBy("key").agg((F.min("comp") != F.max("comp")).alias("mixed")).where("mixed").select("key")
-    rest = staged(named.join(mixed, "key"), "mixed")
+    rest = staged(_mixed(named), "mixed")
+    if not rest.isEmpty():
+        rest = _narrowed(rest, classes, sets)
     if not rest.isEmpty():
         labels = components(first.union(_cross_links(rest, classes, sets)))
     member = classes.select("cls", "node", "doc_id").join(labels, "node", "left")
