@@ -29,6 +29,7 @@ them too. Other columns are not read but by ``filtered``, to tell rows apart.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -83,33 +84,50 @@ class WordHashes(dict):
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 
 
-def shingles(text: str | None, hashes: WordHashes, size: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the text's shingles."""
-    words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
-    n = len(words)
-    if not n:
+def shingles_of(texts: list[str | None], hashes: WordHashes, size: int = SHINGLE) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of each text's shingles."""
+    words = [(t or "").encode("utf-8", "surrogatepass").translate(_LOWER).split() for t in texts]
+    counts = [len(w) for w in words]
+    flat = np.fromiter(map(hashes.__getitem__, chain.from_iterable(words)), np.uint64, sum(counts))
+    del words
+    whole = _windows(flat, size)  # those that reach into the next text are left out below
+    out, start = [], 0
+    for n in counts:
+        found = whole[start : start + n - size + 1] if n >= size else _windows(flat[start : start + n], n)
+        out.append(np.unique(found))
+        start += n
+    return out
+
+
+def _windows(h: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of the runs of ``width`` hashes."""
+    if not 0 < width <= len(h):
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, n)
-    width = min(size, n)
-    out = np.full(n - width + 1, width, np.uint64)
+    out = np.full(len(h) - width + 1, width, np.uint64)
     for k in range(width):
         out = mix(out * np.uint64(_MIX[0]) + h[k : k + len(out)])
-    return np.unique(out)
+    return out
 
 
-def minima(found: np.ndarray) -> np.ndarray:
-    """The smallest remaining hash of each bucket, ``NO_MINIMUM`` in those without values."""
-    out = np.full((REPEATS, BUCKETS), NO_MINIMUM, np.uint64)
+def shingles(text: str | None, hashes: WordHashes, size: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the text's shingles."""
+    return shingles_of([text], hashes, size)[0]
+
+
+def minima(sets: list[np.ndarray]) -> np.ndarray:
+    """For each set a row with the smallest remaining hash of each bucket, ``NO_MINIMUM`` in those without values."""
+    out = np.full(len(sets) * REGISTERS, NO_MINIMUM, np.uint64)
+    found = np.concatenate([*sets, np.zeros(0, np.uint64)])
+    first = np.repeat(np.arange(len(sets)) * REGISTERS, [len(s) for s in sets])
     for r in range(REPEATS):
         h = found if r == 0 else mix(found + np.uint64((r * _MIX[0]) & 0xFFFFFFFFFFFFFFFF))
-        bucket = (h >> np.uint64(60)).astype(np.intp)
-        np.minimum.at(out[r], bucket, h << np.uint64(4))
-    return out.ravel()
+        np.minimum.at(out, first + ((h >> np.uint64(60)).astype(np.intp) + r * BUCKETS), h << np.uint64(4))
+    return out.reshape(-1, REGISTERS)
 
 
 def sketch(found: np.ndarray) -> np.ndarray:
     """Registers of a set of hashes."""
-    return compress(minima(found))
+    return compress(minima([found])[0])
 
 
 def compress(smallest: np.ndarray) -> np.ndarray:
@@ -127,14 +145,14 @@ def compress(smallest: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(smallest: np.ndarray) -> np.ndarray:
-    """64-bit keys of the bands that hold any value, from their whole minima."""
-    rows = smallest.reshape(BANDS, ROWS)
-    used = (rows != NO_MINIMUM).any(axis=1)
-    key = np.arange(BANDS, dtype=np.uint64) * np.uint64(_MIX[0])
+def band_keys(smallest: np.ndarray) -> list[np.ndarray]:
+    """64-bit keys of the bands that hold any value, from the whole minima of each row."""
+    rows = smallest.reshape(-1, BANDS, ROWS)
+    used = (rows != NO_MINIMUM).any(axis=2)
+    key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64) * np.uint64(_MIX[0]), used.shape)
     for k in range(ROWS):
-        key = mix((key + rows[:, k] + np.uint64(_MIX[2])) * np.uint64(_MIX[0]))
-    return key[used]
+        key = mix((key + rows[:, :, k] + np.uint64(_MIX[2])) * np.uint64(_MIX[0]))
+    return [k[u] for k, u in zip(key, used)]
 
 
 def collision_chance(n: np.ndarray, m: np.ndarray, bits: int) -> np.ndarray:
@@ -171,18 +189,19 @@ def sketched(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in slices(batches, "text"):
-            counts, classes, registers, keys = [], [], [], []
-            for text in texts_of(batch):
-                found = shingles(text, hashes)
-                counts.append(len(found))
-                classes.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
-                smallest = minima(found)
-                registers.append(compress(smallest).tobytes() if len(found) else None)
-                keys.append(band_keys(smallest).tobytes() if len(found) else None)
+            sets = shingles_of(texts_of(batch), hashes)
+            smallest = minima(sets)
+            registers = compress(smallest.ravel()).reshape(smallest.shape)
+            empty = np.array([not len(x) for x in sets])
+            columns = (
+                [xxhash.xxh3_128_digest(x.tobytes()) for x in sets],
+                [x.tobytes() for x in registers],
+                [x.tobytes() for x in band_keys(smallest)],
+            )
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"), pa.array(counts, pa.int64()),
-                    pa.array(classes, pa.binary()), pa.array(registers, pa.binary()), pa.array(keys, pa.binary()),
+                    batch.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()),
+                    *(pa.array(c, pa.binary(), mask=empty) for c in columns),
                 ],
                 names=["doc_id", "n_shingles", "cls", "registers", "keys"],
             )
@@ -229,8 +248,9 @@ def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in slices(batches, "text", 1 << 20):
-            out = [(n, s) for n, t, c in zip(*(batch.column(x).to_pylist() for x in ("node", "text", "cls")))
-                   if xxhash.xxh3_128_digest(s := shingles(t, hashes).tobytes()) == c]
+            found = shingles_of(batch.column("text").to_pylist(), hashes)
+            out = [(n, s) for n, x, c in zip(batch.column("node").to_pylist(), found, batch.column("cls").to_pylist())
+                   if xxhash.xxh3_128_digest(s := x.tobytes()) == c]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([n for n, _ in out], pa.int64()), pa.array([s for _, s in out], pa.binary())],
                 names=["node", "hashes"],
